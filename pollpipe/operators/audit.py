@@ -70,9 +70,8 @@ def latest_poll(df: DataFrame, time: str) -> DataFrame:
 
 
 def rows_at_latest(df: DataFrame, time: str) -> DataFrame:
-    """Rows of the newest poll. The newest time is a one-row aggregate, sent to all tasks."""
-    newest = df.agg(F.max(time).alias("__newest"))
-    return df.join(F.broadcast(newest), F.col(time) == F.col("__newest"), "left_semi")
+    """Rows of the newest poll. The newest time is a scalar subquery of the scan filter."""
+    return df.where(F.col(time) == df.agg(F.max(time)).scalar())
 
 
 def layer_lag(upstream: DataFrame, downstream: DataFrame, time: str, names: tuple[str, str]) -> DataFrame:

@@ -75,11 +75,9 @@ def issue_rows(df: DataFrame, key: Sequence[str], issues: Mapping[str, str]) ->
 
     ``issues`` maps a kind, for example ``cast``, to the array column that lists its tags.
     """
-    tagged = F.flatten(
-        F.array(*[
-            F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")),
-                        lambda tag, k=kind: F.struct(F.lit(k).alias("kind"), tag.alias("tag")))
-            for kind, c in issues.items()
-        ])
-    )
+    def of_kind(kind: str, column: str) -> Column:
+        tags = F.coalesce(F.col(column), F.array().cast("array<string>"))
+        return F.transform(tags, lambda tag: F.struct(F.lit(kind).alias("kind"), tag.alias("tag")))
+
+    tagged = F.flatten(F.array(*[of_kind(kind, column) for kind, column in issues.items()]))
     return df.select(*key, F.explode(tagged).alias("issue")).select(*key, "issue.kind", "issue.tag")

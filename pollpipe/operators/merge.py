@@ -68,15 +68,20 @@ def insert_into(table: FeedTable, batch: DataFrame, key: Sequence[str]) -> None:
     table.append(new_rows(batch, known, key))
 
 
-def upsert_into(table: FeedTable, batch: DataFrame, key: Sequence[str]) -> None:
+def upsert_into(
+    table: FeedTable, batch: DataFrame, key: Sequence[str], keys: DataFrame | None = None
+) -> None:
     """Replace matched rows and insert the others; rewrites only the touched dates.
 
-    A batch with two rows for one key is refused: either could win.
+    A batch with two rows for one key is refused: either could win. ``keys`` may name
+    the rows of the batch in a form that is cheaper to compute.
     """
-    if not repeated_keys(batch, key).isEmpty():
+    named = batch if keys is None else keys
+    if not repeated_keys(named, key).isEmpty():
         raise ValueError(f"batch has more than one row per key {tuple(key)}")
     if not table.exists():
         table.append(batch)
         return
-    kept = table.read(dates=table.dates_in(batch))
-    table.replace_dates(upsert(kept, batch, key))
+    kept = table.read(dates=table.dates_in(named))
+    replaced = kept.join(named.select(*key), list(key), "left_anti").select(*kept.columns)
+    table.replace_dates(replaced.unionByName(batch))

@@ -40,10 +40,10 @@ def exact_percentile(df: DataFrame, column: str, fraction: float, bins: int = BI
 def _value_at(values: DataFrame, rank: int, low: float, high: float, bins: int) -> float:
     """The value with ``rank`` smaller or equal values before it, all within [low, high]."""
     while low < high:
-        width = (high - low) / bins
+        width = high / bins - low / bins
         if width == 0.0 or low + width == low:
             return _nth_distinct(values, rank, low, high)
-        bin_of = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+        bin_of = F.least(F.floor(F.col("v") / F.lit(width) - F.lit(low / width)), F.lit(bins - 1))
         counted = (
             values.where((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))
             .groupBy(bin_of.alias("bin"))

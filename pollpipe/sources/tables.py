@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DATE = "poll_date"
@@ -61,7 +61,7 @@ class FeedTable:
         stored_type = dict(df.dtypes)[self.time]
         # compare in the stored type, so that the bound can be pushed into the scan
         time_type = "timestamp" if stored_type == "string" else stored_type
-        time = F.col(self.time).cast(time_type)
+        time = F.col(self.time).try_cast(time_type)
         if dates is not None:
             df = df.where(F.col(DATE).isin(dates))
         for bound, keep, on_date in (
@@ -84,23 +84,30 @@ class FeedTable:
         last = df.agg(F.max(DATE)).first()[0]
         if last is None:
             return None
-        newest = df.where(F.col(DATE) == F.lit(last)).agg(F.max(F.unix_micros(F.col(self.time).cast("timestamp"))))
+        newest = df.where(F.col(DATE) == F.lit(last)).agg(F.max(self._micros()))
         return from_micros(newest.first()[0])
 
     def with_date(self, df: DataFrame) -> DataFrame:
         # UTC calendar day, whatever the session time zone
         return df.withColumn(DATE, F.date_add(F.lit(dt.date(1970, 1, 1)), self._epoch_day()))
 
-    def _epoch_day(self):
-        micros = F.unix_micros(F.col(self.time).cast("timestamp"))
-        return F.floor(micros / F.lit(86_400_000_000)).cast("int")
+    def _epoch_day(self) -> Column:
+        return F.floor(self._micros() / F.lit(86_400_000_000)).cast("int")
+
+    def _micros(self) -> Column:
+        # text that is no time has no date and sorts nowhere
+        return F.unix_micros(F.col(self.time).try_cast("timestamp"))
 
     def dates_in(self, df: DataFrame) -> list[dt.date]:
         """Dates touched by ``df``: at most one value per calendar day."""
         return [r[0] for r in self.with_date(df).select(DATE).distinct().collect()]
 
+    def _gathered(self, df: DataFrame) -> DataFrame:
+        # few files per date: small dates share a task, a large one is split over several
+        return self.with_date(df).hint("rebalance", F.col(DATE))
+
     def append(self, df: DataFrame) -> None:
-        writer = self.with_date(df).write.mode("append").partitionBy(DATE).format("parquet")
+        writer = self._gathered(df).write.mode("append").partitionBy(DATE).format("parquet")
         writer.save(self.location) if self.by_path else writer.saveAsTable(self.location)
 
     def replace_dates(self, df: DataFrame) -> None:
@@ -109,7 +116,7 @@ class FeedTable:
         Reading the same partitions in ``df`` is safe: new files are staged and moved in
         after every read has finished.
         """
-        dated = self.with_date(df)
+        dated = self._gathered(df)
         if self.by_path:
             (
                 dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -122,12 +129,9 @@ class FeedTable:
             .option("partitionOverwriteMode", "dynamic").insertInto(self.location)
         )
 
-    def compact(self, dates: list[dt.date], files_per_date: int = 1) -> None:
+    def compact(self, dates: list[dt.date]) -> None:
         """Rewrite the given dates with few files; frequent small appends need this."""
-        df = self.read(dates=dates)
-        day, spread = self._epoch_day(), F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
-        parts = max(1, len(dates) * files_per_date)
-        self.replace_dates(df.repartition(parts, day, spread))
+        self.replace_dates(self.read(dates=dates))
 
     def columns(self) -> DataFrame:
         """One row per column: name, type and nullability."""
