@@ -1,6 +1,6 @@
 """Registered queries over the given tables. Importing the package registers all of them."""
 
-from . import changes, polls, questions
+from . import audits, changes, loads, polls, questions, records
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "changes", "polls", "questions"]
+__all__ = ["ORACLES", "QUERIES", "audits", "changes", "loads", "polls", "questions", "records"]

@@ -17,7 +17,7 @@ from pollpipe.plans import SilverPlan, gates, load_bronze, load_gold, load_silve
 from pollpipe.presets import perpetuals as preset
 from pollpipe.sources import FeedTable, classify_polls, read_polls
 
-from .registry import fresh_dir, query, table
+from .registry import fresh_dir, landed, query, table
 
 PLAN = SilverPlan(preset.FEED, preset.derived_columns, preset.quality_rules)
 GOLD_COLUMNS = preset.GOLD_CONTRACT.names
@@ -40,12 +40,13 @@ def props_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     drifted = F.when(F.col("event_id") % 3 == 0, F.replace("props", F.lit("}"), F.lit(', "x": 1}'))).otherwise(
         F.col("props")
     )
-    return events.select(
+    polls = events.select(
         "event_id",
         iso(F.col("ts")).alias("fetched_at"),
         F.lit(200).alias("status_code"),
         F.concat(F.lit('{"data": ['), drifted, F.lit("]}")).alias("payload"),
     )
+    return landed(polls, "props")
 
 
 PROPS_SQL = """
@@ -99,7 +100,7 @@ def poll_explode(spark, sf_dir):
         iso(F.col("ts")).alias("fetched_at"), F.lit(200).alias("status_code"),
         F.concat(F.lit('{"data":['), first, F.lit(","), second, F.lit("]}")).alias("payload"),
     )
-    rows = accepted(explode_polls(polls, ["event_id", "kind", "value", "k"]))
+    rows = accepted(explode_polls(landed(polls, "pairs"), ["event_id", "kind", "value", "k"]))
     return rows.select(
         F.get_json_object("raw_record_json", "$.event_id").cast("bigint").alias("event_id"),
         "kind", F.col("value").cast("double").alias("value"), F.col("k").cast("bigint").alias("k"),
@@ -111,7 +112,7 @@ def broken_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     whole = F.concat(F.lit('{"data": ['), "props", F.lit("]}"))
-    return events.select(
+    polls = events.select(
         "event_id",
         iso(F.col("ts")).alias("fetched_at"),
         F.when(k < 5, 429).when(k < 10, 500).when(k >= 15, 200).alias("status_code"),
@@ -125,6 +126,7 @@ def broken_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k < 50, F.concat(whole, F.lit(" rest")))
         .otherwise(whole).alias("payload"),
     )
+    return landed(polls, "broken")
 
 
 BROKEN_SQL = """
@@ -319,7 +321,7 @@ def bronze_rows(spark, sf_dir):
 @query(f"SELECT {', '.join(_SILVER_COLUMNS)}, extra, missing, cast_issues, quality_issues FROM ({SILVER_SQL}) s")
 def silver_rows_of_feed(spark, sf_dir):
     """Typed rows with derived columns, cast issues and quality tags."""
-    bronze = explode_polls(feed_polls(spark, sf_dir), preset.FEED.vendor_fields)
+    bronze = explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields)
     rows = silver_rows(bronze, PLAN)
     return plain(rows.select(
         *_SILVER_COLUMNS,
@@ -339,7 +341,7 @@ def silver_rows_of_feed(spark, sf_dir):
 """)
 def issue_table(spark, sf_dir):
     """Side table: one row per issue of a silver row."""
-    silver = silver_rows(explode_polls(feed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
+    silver = silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
     issues = {"cast": "silver_cast_issues", "quality": "silver_quality_issues"}
     return plain(issue_rows(silver, preset.FEED.key, issues))
 
@@ -380,7 +382,7 @@ _AS_OF = dt.datetime(2024, 1, 31)
 """)
 def bronze_gate_metrics(spark, sf_dir):
     """Bronze gate: keys, drift, newest poll and its age."""
-    rows = accepted(explode_polls(feed_polls(spark, sf_dir), preset.FEED.vendor_fields))
+    rows = accepted(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields))
     domain = rows.where(F.col("base_coin") == "BTC").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
     return plain(gates.bronze_metrics(domain, preset.FEED.key, "fetched_at", F.lit(_AS_OF)))
 
@@ -395,7 +397,7 @@ def bronze_gate_metrics(spark, sf_dir):
 """)
 def silver_gate_metrics(spark, sf_dir):
     """Silver gate: keys, issues and gaps in derived columns."""
-    silver = silver_rows(explode_polls(feed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
+    silver = silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
     eligible = F.col("rate").isNotNull() & F.coalesce(F.col("interval_hours") > 0, F.lit(False))
     return gates.silver_metrics(silver, preset.FEED.key, eligible, ["rate_per_8h", "rate_annualized"])
 

@@ -42,3 +42,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder in the shared scratch space."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to and read from the shared scratch space, as if it had arrived there."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

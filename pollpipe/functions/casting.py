@@ -22,8 +22,6 @@ time zone has to be UTC.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,17 +35,17 @@ ISO_TEXT = (
 )
 
 
+# First two letters of a variant's schema text, per kind
+_KINDS = {
+    "ST": "string", "BO": "boolean", "OB": "object", "AR": "array",
+    "BI": "number", "DE": "number", "DO": "number", "FL": "number",
+}
+
+
 def json_kind(value: Column) -> Column:
     """Kind of a VARIANT value; NULL for JSON null and for an absent key."""
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(shape.isNull() | (shape == "VOID"), F.lit(None).cast("string"))
-        .when(shape == "STRING", "string")
-        .when(shape == "BOOLEAN", "boolean")
-        .when(shape.startswith("OBJECT"), "object")
-        .when(shape.startswith("ARRAY"), "array")
-        .otherwise("number")
-    )
+    kinds = F.create_map(*[F.lit(part) for pair in _KINDS.items() for part in pair])
+    return F.try_element_at(kinds, F.left(F.schema_of_variant(value), F.lit(2)))
 
 
 def json_text(value: Column) -> Column:
@@ -105,10 +103,3 @@ def cast_failed(text: Column, type_name: str, kind: Column | None = None) -> Col
     """True where a value is present and cannot be cast. Never NULL."""
     present = text.isNotNull() if kind is None else kind.isNotNull()
     return present & cast_value(text, type_name, kind).isNull()
-
-
-def failed_fields(values: Mapping[str, Column], kind: Callable[[str], Column]) -> Column:
-    """Names, in order, of the fields that are present but whose cast ``values`` are NULL."""
-    return F.array_compact(
-        F.array(*[F.when(kind(name).isNotNull() & value.isNull(), F.lit(name)) for name, value in values.items()])
-    )

@@ -16,9 +16,18 @@ class Rule(NamedTuple):
     broken: Column
 
 
+def tags_of(candidates: Sequence[Column]) -> Column:
+    """The candidates that are not NULL, as an array in the given order.
+
+    Each tag may occur once. Unlike ``array_compact`` this stays in generated code.
+    """
+    nothing = F.lit(None).cast("string")
+    return F.array_except(F.array(*candidates, nothing), F.array(nothing))
+
+
 def quality_tags(rules: Sequence[Rule]) -> Column:
     """Tags of all broken rules, in rule order; an empty array if there are none."""
-    return F.array_compact(F.array(*[F.when(r.broken, F.lit(r.tag)) for r in rules]))
+    return tags_of([F.when(r.broken, F.lit(r.tag)) for r in rules])
 
 
 def has_issues(tags: Column) -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.casting import cast_value, failed_fields
-from ..functions.quality import Rule, quality_tags
+from ..functions.casting import cast_value
+from ..functions.quality import Rule, quality_tags, tags_of
 from ..spec import Field
 from .explode import KINDS
 
@@ -43,12 +43,14 @@ def cast_fields(
     Rows are never dropped; a failed or absent value is NULL.
     """
     kind, text = field_kind(df), field_text(df)
-    values = {f.name: cast_value(text(f.name), f.type, kind(f.name)) for f in fields}
-    return df.select(
-        *[value.alias(name) for name, value in values.items()],
-        failed_fields(values, kind).alias(issues),
+    # the failures look at finished columns, so that no cast is computed twice
+    typed = df.select(
+        *[cast_value(text(f.name), f.type, kind(f.name)).alias(f.name) for f in fields],
+        F.struct(*[kind(f.name).isNotNull().alias(f.name) for f in fields]).alias("__present"),
         *[column.alias(name) for name, column in (keep or {}).items()],
     )
+    failed = [F.when(F.col("__present")[f.name] & F.col(f.name).isNull(), F.lit(f.name)) for f in fields]
+    return typed.select(*[f.name for f in fields], tags_of(failed).alias(issues), *(keep or {}))
 
 
 def clean_records(

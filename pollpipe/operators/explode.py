@@ -32,12 +32,12 @@ def is_one_json_value(text: Column) -> Column:
 
 def extra_fields(keys: Column, expected: Sequence[str]) -> Column:
     """Sorted names that were not expected."""
-    return F.array_sort(F.array_except(keys, _names(expected)))
+    return F.sort_array(F.array_except(keys, _names(expected)))
 
 
 def missing_fields(keys: Column, expected: Sequence[str]) -> Column:
     """Sorted expected names that are absent; a key with a null value is present."""
-    return F.array_sort(F.array_except(_names(expected), keys))
+    return F.sort_array(F.array_except(_names(expected), keys))
 
 
 def _names(expected: Sequence[str]) -> Column:
@@ -69,18 +69,18 @@ def explode_polls(polls: DataFrame, expected: Sequence[str]) -> DataFrame:
             F.when(F.col("data").isNull(), NO_ARRAY),
         ),
     )
-    # an empty array is a valid poll without records
-    records = judged.where(F.col(REASON).isNotNull() | (F.size("data") > 0)).select(
-        *carried,
-        "fetched_at",
-        "status_code",
-        REASON,
-        F.explode(
-            F.when(F.col(REASON).isNull(), F.col("data")).otherwise(F.array("payload"))
-        ).alias("raw_record_json"),
+    # An empty array is a valid poll without records. The outer form keeps Spark from adding
+    # a filter on the array, which would parse every payload a second time.
+    items = F.when(F.col(REASON).isNull(), F.col("data")).otherwise(F.array("payload"))
+    records = (
+        judged.select(*carried, "fetched_at", "status_code", REASON, F.posexplode_outer(items).alias("pos", "raw"))
+        .where(F.col("pos").isNotNull())
+        .withColumnRenamed("raw", "raw_record_json")
     )
-    parsed = F.when(F.col(REASON).isNull(), F.from_json("raw_record_json", "MAP<STRING, VARIANT>"))
-    fields = records.withColumn("parsed", _last_of_repeated(parsed)).withColumn("keys", F.map_keys("parsed"))
+    # one parse into a struct of the expected fields; of a repeated key the last value counts
+    layout = ", ".join(f"`{n}` VARIANT" for n in expected)
+    raw = F.when(F.col(REASON).isNull(), F.col("raw_record_json"))
+    fields = records.withColumn("parsed", F.from_json(raw, layout)).withColumn("keys", F.json_object_keys(raw))
     return fields.select(
         *carried,
         "fetched_at",
@@ -90,18 +90,8 @@ def explode_polls(polls: DataFrame, expected: Sequence[str]) -> DataFrame:
         missing_fields(F.col("keys"), expected).alias("schema_missing_fields"),
         *[json_text(F.col("parsed")[n]).alias(n) for n in expected],
         F.struct(*[json_kind(F.col("parsed")[n]).alias(n) for n in expected]).alias(KINDS),
-        F.coalesce(F.col(REASON), F.when(F.col("parsed").isNull(), NOT_OBJECT)).alias(REASON),
-    )
-
-
-def _last_of_repeated(parsed: Column) -> Column:
-    # JSON with a repeated key: the last value counts. Rare, so only then rebuild the map.
-    entries, keys = F.map_entries(parsed), F.map_keys(parsed)
-    last = F.transform(
-        F.array_distinct(keys),
-        lambda k: F.struct(k, F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]),
+        F.coalesce(F.col(REASON), F.when(F.col("keys").isNull(), NOT_OBJECT)).alias(REASON),
     )
-    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), parsed).otherwise(F.map_from_entries(last))
 
 
 def accepted(exploded: DataFrame) -> DataFrame:
