@@ -120,13 +120,13 @@ def _lag_columns(previous: Mapping[str, int], window) -> dict[str, Column]:
 def _range_slices(
     df: DataFrame, entity: Sequence[str], order: list[str], rows_per_task: int
 ) -> tuple[DataFrame, list[str]]:
-    # The row number splits even groups of identical copies. Range bounds are sampled and
-    # the number depends on the input split, so both are fixed by the checkpoint.
-    parts = max(2, -(-df.count() // rows_per_task))
-    ranged = (
-        df.withColumn(_ROW, F.monotonically_increasing_id())
-        .repartitionByRange(parts, *entity, *order, _ROW)
-        .withColumn(_SLICE, F.spark_partition_id().cast("bigint"))
+    # The row number splits even groups of identical copies. It depends on the input split
+    # and the range bounds are sampled, so both are written down before they are relied on:
+    # a task that is run again must not see other numbers or bounds.
+    numbered = checkpoint(df.withColumn(_ROW, F.monotonically_increasing_id()))
+    parts = max(2, -(-numbered.count() // rows_per_task))
+    ranged = numbered.repartitionByRange(parts, *entity, *order, _ROW).withColumn(
+        _SLICE, F.spark_partition_id().cast("bigint")
     )
     return checkpoint(ranged), [*order, _ROW]
 
