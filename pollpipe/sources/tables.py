@@ -123,11 +123,14 @@ class FeedTable:
                 .partitionBy(DATE).format("parquet").save(self.location)
             )
             return
-        columns = self._stored().columns
-        (
-            dated.select(*columns).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").insertInto(self.location)
-        )
+        # insertInto takes the overwrite mode from the session only
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            dated.select(*self._stored().columns).write.mode("overwrite").insertInto(self.location)
+        finally:
+            self.spark.conf.set(mode, before)
 
     def compact(self, dates: list[dt.date]) -> None:
         """Rewrite the given dates with few files; frequent small appends need this."""
