@@ -17,7 +17,7 @@ from pollpipe.plans import SilverPlan, gates, load_bronze, load_gold, load_silve
 from pollpipe.presets import perpetuals as preset
 from pollpipe.sources import FeedTable, classify_polls, read_polls
 
-from .registry import fresh_dir, landed, query, table
+from .registry import fresh_dir, in_files, landed, query, table
 
 PLAN = SilverPlan(preset.FEED, preset.derived_columns, preset.quality_rules)
 GOLD_COLUMNS = preset.GOLD_CONTRACT.names
@@ -236,7 +236,7 @@ def feed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed after a round trip through landed JSON files."""
     path = fresh_dir(spark, "polls")
-    feed_polls(spark, sf_dir).write.json(path)
+    in_files(feed_polls(spark, sf_dir)).write.json(path)
     return read_polls(spark, path)
 
 
@@ -382,8 +382,10 @@ _AS_OF = dt.datetime(2024, 1, 31)
 """)
 def bronze_gate_metrics(spark, sf_dir):
     """Bronze gate: keys, drift, newest poll and its age."""
-    rows = accepted(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields))
-    domain = rows.where(F.col("base_coin") == "BTC").withColumn("fetched_at", F.col("fetched_at").cast("timestamp"))
+    bronze = landed(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), "bronze")
+    domain = accepted(bronze).where(F.col("base_coin") == "BTC").withColumn(
+        "fetched_at", F.col("fetched_at").cast("timestamp")
+    )
     return plain(gates.bronze_metrics(domain, preset.FEED.key, "fetched_at", F.lit(_AS_OF)))
 
 
@@ -397,7 +399,7 @@ def bronze_gate_metrics(spark, sf_dir):
 """)
 def silver_gate_metrics(spark, sf_dir):
     """Silver gate: keys, issues and gaps in derived columns."""
-    silver = silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
+    silver = landed(silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN), "silver")
     eligible = F.col("rate").isNotNull() & F.coalesce(F.col("interval_hours") > 0, F.lit(False))
     return gates.silver_metrics(silver, preset.FEED.key, eligible, ["rate_per_8h", "rate_annualized"])
 

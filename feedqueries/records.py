@@ -132,7 +132,7 @@ PROFILE_SQL = """
 """)
 def column_profile(spark, sf_dir):
     """Nulls, cast failures and three failing texts per field."""
-    report = profile_fields(raw_records(spark, sf_dir), FIELDS)
+    report = profile_fields(landed(raw_records(spark, sf_dir), "bronze"), FIELDS)
     return report.withColumn("examples", listed("cast_failure_examples")).drop("cast_failure_examples")
 
 
@@ -142,7 +142,7 @@ def column_profile(spark, sf_dir):
 """)
 def profile_problems(spark, sf_dir):
     """Only the fields that need attention."""
-    report = problem_fields(profile_fields(raw_records(spark, sf_dir), FIELDS))
+    report = problem_fields(profile_fields(landed(raw_records(spark, sf_dir), "bronze"), FIELDS))
     return report.select("field", "unexpected_null_count", "cast_failure_count")
 
 

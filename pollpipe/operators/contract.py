@@ -31,7 +31,8 @@ def schema_violations(df: DataFrame, contract: Contract) -> list[tuple[str, str,
 def check_contract(df: DataFrame, contract: Contract, as_of: Column | None = None) -> DataFrame:
     """One row per rule with the number of violations; zero means the rule holds.
 
-    All rules on data are evaluated in one aggregate pass.
+    All rules on values are one aggregate pass; the grain is a second one, because only
+    it has to shuffle keys.
     """
     spark = df.sparkSession
     schema_rows = schema_violations(df, contract)
@@ -45,21 +46,23 @@ def check_contract(df: DataFrame, contract: Contract, as_of: Column | None = Non
             rules.append(("not_null", c.name, F.count_if(value.isNull())))
         if c.values:
             rules.append(("allowed_values", c.name, F.count_if(value.isNotNull() & ~value.isin(*c.values))))
-    if all(k.lower() in present for k in contract.grain):
-        key = F.struct(*contract.grain)
-        rules.append(("unique_grain", ",".join(contract.grain), F.count(F.lit(1)) - F.count_distinct(key)))
     if contract.time and contract.max_lag_minutes is not None and contract.time.lower() in present:
         now = F.current_timestamp() if as_of is None else as_of
         age = (micros(now) - micros(F.max(contract.time))) / F.lit(6e7)
         late = F.when(age <= contract.max_lag_minutes, 0).otherwise(1)
         rules.append(("freshness", contract.time, late))
-    report = spark.createDataFrame(schema_rows, RESULT) if schema_rows else None
+    report = spark.createDataFrame(schema_rows, RESULT)
     if rules:
         totals = df.agg(*[value.cast("bigint").alias(f"v{i}") for i, (_, _, value) in enumerate(rules)])
         rows = F.array(*[
             F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("column_name"), F.col(f"v{i}").alias("violations"))
             for i, (rule, name, _) in enumerate(rules)
         ])
-        checked = totals.select(F.inline(rows))
-        report = checked if report is None else report.unionByName(checked)
-    return report if report is not None else spark.createDataFrame([], RESULT)
+        report = report.unionByName(totals.select(F.inline(rows)))
+    if all(k.lower() in present for k in contract.grain):
+        # NULL is a key value like any other here, as in a GROUP BY
+        copies = F.count(F.lit(1)) - F.count_distinct(F.struct(*contract.grain))
+        report = report.unionByName(df.agg(copies.cast("bigint").alias("violations")).select(
+            F.lit("unique_grain").alias("rule"), F.lit(",".join(contract.grain)).alias("column_name"), "violations"
+        ))
+    return report

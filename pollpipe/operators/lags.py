@@ -45,9 +45,11 @@ def choose_width(
 
     ``None``: no need, every series fits one task. A number: slice width in
     microseconds. ``"range"``: every width leaves a slice, or the edges of a series, too
-    large. Counts are combined before the shuffle and only maxima reach the driver; one
-    pass over the key columns settles all but bursty feeds.
+    large. The row count settles small inputs, one pass over the key columns all but bursty
+    feeds. Counts are combined before the shuffle and only maxima reach the driver.
     """
+    if df.count() <= rows_per_task:
+        return None
     month, day, *finer = WIDTHS
     edge = 2 * depth
     rows = F.count(F.lit(1))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import micros
 from ..operators.features import ChangeSpec, add_features, change_features
-from ..operators.lags import latest_rows, with_previous
+from ..operators.lags import choose_width, latest_rows, with_previous
 from ..operators.merge import new_rows, upsert_into
-from ..sources.tables import FeedTable, from_micros
+from ..sources.tables import FeedTable, from_micros, to_micros
 
 _NEW, _LATE = "__new", "__late"
 
@@ -34,6 +34,9 @@ def features_of_new_rows(
     must hold no row at or after the earliest of ``new``.
     """
     context = latest_rows(history, spec.entity, spec.time, spec.lookback, spec.tiebreak)
+    if slicing == "auto":
+        # the context adds only a few rows per series
+        slicing = choose_width(new, spec.entity, spec.time, spec.lookback)
     both = context.withColumn(_NEW, F.lit(False)).unionByName(new.withColumn(_NEW, F.lit(True)))
     featured = change_features(both, spec, slicing)
     return featured.where(F.col(_NEW)).drop(_NEW)
@@ -77,6 +80,8 @@ def affected_by_late_rows(
     if it is late or one of its ``lookback`` predecessors is.
     """
     key = [*spec.entity, spec.time]
+    if slicing == "auto":
+        slicing = choose_width(rows, spec.entity, spec.time, spec.lookback)
     # one row per late key: the mark cannot multiply rows
     marks = late.select(*key).distinct().withColumn(_LATE, F.lit(True))
     of_series = rows.join(late.select(*spec.entity).distinct(), list(spec.entity), "left_semi")
@@ -95,22 +100,22 @@ def repair_late_rows(
     spec: ChangeSpec,
     columns: Sequence[str],
     lookback: dt.timedelta | None,
-    search_back: dt.timedelta | None = None,
+    arrived: DataFrame | None = None,
     domain: tuple[str, str] | None = None,
     slicing: int | str | None = "auto",
 ) -> bool:
     """Add source rows that the watermark skipped, and recompute the rows after them.
 
-    Such rows are at or before the newest target time, and missing in the target.
-    ``search_back`` bounds how long before that time they are searched (``None``: in all
-    of the table), ``lookback`` how far around them predecessors and successors are read.
-    Returns whether there were any.
+    Such rows are at or before the newest target time, and missing in the target. If the
+    newly ``arrived`` source rows are known, only those are looked at; otherwise all of
+    the source is compared with all of the target. ``lookback`` bounds how far around late
+    rows predecessors and successors are read. Returns whether there were any.
     """
     watermark = target.max_time()
     if watermark is None:
         return False
     key = (*spec.entity, spec.time)
-    late = late_keys(source, target, key, search_back, domain)
+    late = late_keys(source, target, key, arrived, domain)
     bounds = late.agg(F.min(micros(F.col(spec.time))), F.max(micros(F.col(spec.time)))).first()
     first, last = (from_micros(b) for b in bounds)
     if first is None:
@@ -127,19 +132,24 @@ def late_keys(
     source: FeedTable,
     target: FeedTable,
     key: Sequence[str],
-    search_back: dt.timedelta | None = None,
+    arrived: DataFrame | None = None,
     domain: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Keys of source rows that a watermark-driven load skipped for good.
 
-    Counting them is the whole of a policy that drops late rows.
+    Counting them is the whole of a policy that drops late rows. With ``arrived``, only
+    those rows are looked at, and of the target only the dates from the earliest on.
     """
     watermark = target.max_time()
     if watermark is None:
         raise ValueError("the target has no rows, so nothing can be late")
-    since = None if search_back is None else watermark - search_back
-    arrived = _of_domain(source.read(since=since, until=watermark), domain).select(*key)
-    return new_rows(arrived.distinct(), target.read(since=since, until=watermark), key)
+    if arrived is None:
+        since, rows = None, source.read(until=watermark)
+    else:
+        since = earliest(arrived, target.time) or watermark
+        rows = arrived.where(micros(F.col(target.time)) <= to_micros(watermark))
+    keys = _of_domain(rows, domain).select(*key).distinct()
+    return new_rows(keys, target.read(since=since, until=watermark), key)
 
 
 def _of_domain(df: DataFrame, domain: tuple[str, str] | None) -> DataFrame:

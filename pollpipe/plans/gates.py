@@ -1,4 +1,8 @@
-"""The gates that run after each layer. Each reads its table once."""
+"""The gates that run after each layer.
+
+Counts of conditions are one scan without a shuffle. Exact key uniqueness has to shuffle
+the keys, so it is kept apart: combined, every key would drag all other counts along.
+"""
 
 from __future__ import annotations
 
@@ -20,6 +24,7 @@ from ..operators.audit import (
     side_by_side,
 )
 from ..operators.clean import CAST_ISSUES, QUALITY_ISSUES
+from ..operators.explode import drift_counts
 
 
 def _unique(values) -> str | None:
@@ -41,14 +46,10 @@ def _lag(upstream: str, downstream: str, limit: float):
 
 def bronze_metrics(bronze: DataFrame, key: Sequence[str], time: str, as_of: Column | None = None) -> DataFrame:
     """One row: rows, unique keys, drift counts, newest poll, its size and its age."""
-    totals = bronze.agg(
-        *key_metrics(key),
-        F.count_if(F.size("schema_extra_fields") > 0).alias("extra_field_rows"),
-        F.count_if(F.size("schema_missing_fields") > 0).alias("missing_field_rows"),
-    )
+    keys = bronze.agg(*key_metrics(key))
     now = F.current_timestamp() if as_of is None else as_of
     age = minutes_between(now, F.col("latest_fetched_at"))
-    return side_by_side(totals, latest_poll(bronze, time)).withColumn("age_minutes", age)
+    return side_by_side(keys, drift_counts(bronze), latest_poll(bronze, time)).withColumn("age_minutes", age)
 
 
 def bronze_gate(
@@ -80,12 +81,12 @@ def bronze_gate(
 
 def silver_metrics(silver: DataFrame, key: Sequence[str], eligible: Column, derived: Sequence[str]) -> DataFrame:
     """One row: rows, unique keys, rows with issues, and gaps in derived columns."""
-    return silver.agg(
-        *key_metrics(key),
+    counts = silver.agg(
         F.count_if(has_issues(F.col(CAST_ISSUES))).alias("cast_issue_rows"),
         F.count_if(has_issues(F.col(QUALITY_ISSUES))).alias("quality_issue_rows"),
         *derived_metrics(eligible, derived),
     )
+    return side_by_side(silver.agg(*key_metrics(key)), counts)
 
 
 def silver_gate(
@@ -112,11 +113,11 @@ def silver_gate(
 
 def gold_metrics(gold: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: rows, unique keys, and rows per flag."""
-    return gold.agg(
-        *key_metrics(key),
+    flags = gold.agg(
         F.count_if(F.col("is_large_move")).alias("large_move_rows"),
         F.count_if(F.col("is_frozen")).alias("frozen_rows"),
     )
+    return side_by_side(gold.agg(*key_metrics(key)), flags)
 
 
 def gold_gate(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +42,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the duration of a block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

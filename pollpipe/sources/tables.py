@@ -14,6 +14,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import setting
+
 DATE = "poll_date"
 
 
@@ -22,12 +24,14 @@ class FeedTable:
     """A table of feed rows with time column ``time``.
 
     A ``location`` with a slash is a path, anything else a catalog name. The
-    partition column is maintained here and hidden from readers.
+    partition column is maintained here and hidden from readers. Rows are sorted inside
+    each file by ``cluster_by`` and time, so that a filter on one series skips row groups.
     """
 
     spark: SparkSession
     location: str
     time: str
+    cluster_by: tuple[str, ...] = ()
 
     @property
     def by_path(self) -> bool:
@@ -72,7 +76,7 @@ class FeedTable:
         ):
             if bound is not None:
                 # microseconds pin the instant whatever time zone the driver runs in
-                instant = F.timestamp_micros(F.lit(_to_micros(bound))).cast(time_type)
+                instant = F.timestamp_micros(F.lit(to_micros(bound))).cast(time_type)
                 df = df.where(on_date(F.lit(_utc(bound).date())) & keep(instant))
         return df.drop(DATE)
 
@@ -81,11 +85,14 @@ class FeedTable:
         if not self.exists():
             return None
         df = self._stored()
-        last = df.agg(F.max(DATE)).first()[0]
-        if last is None:
-            return None
-        newest = df.where(F.col(DATE) == F.lit(last)).agg(F.max(self._micros()))
-        return from_micros(newest.first()[0])
+        # the date comes from the partition names, without opening files
+        with setting(self.spark, "spark.sql.optimizer.metadataOnly", "true"):
+            last = df.agg(F.max(DATE)).first()[0]
+        newest = df.where(F.col(DATE) == F.lit(last)).agg(F.max(self._micros())).first()[0]
+        if newest is None:
+            # a date without rows, or no dates at all
+            newest = df.agg(F.max(self._micros())).first()[0]
+        return from_micros(newest)
 
     def with_date(self, df: DataFrame) -> DataFrame:
         # UTC calendar day, whatever the session time zone
@@ -104,7 +111,9 @@ class FeedTable:
 
     def _gathered(self, df: DataFrame) -> DataFrame:
         # few files per date: small dates share a task, a large one is split over several
-        return self.with_date(df).hint("rebalance", F.col(DATE))
+        return self.with_date(df).hint("rebalance", F.col(DATE)).sortWithinPartitions(
+            DATE, *self.cluster_by, self.time
+        )
 
     def append(self, df: DataFrame) -> None:
         writer = self._gathered(df).write.mode("append").partitionBy(DATE).format("parquet")
@@ -124,13 +133,8 @@ class FeedTable:
             )
             return
         # insertInto takes the overwrite mode from the session only
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
+        with setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
             dated.select(*self._stored().columns).write.mode("overwrite").insertInto(self.location)
-        finally:
-            self.spark.conf.set(mode, before)
 
     def compact(self, dates: list[dt.date]) -> None:
         """Rewrite the given dates with few files; frequent small appends need this."""
@@ -147,7 +151,8 @@ def _utc(moment: dt.datetime) -> dt.datetime:
     return moment if moment.tzinfo is not None else moment.replace(tzinfo=dt.timezone.utc)
 
 
-def _to_micros(moment: dt.datetime) -> int:
+def to_micros(moment: dt.datetime) -> int:
+    """Microseconds since 1970 of a UTC time."""
     delta = _utc(moment) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
     return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
 

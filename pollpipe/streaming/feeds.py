@@ -87,7 +87,7 @@ def stream_features(
         insert_into(rows, one_per_key(batch, key), key)
         build_features(rows, features, spec, columns, lookback, domain, slicing)
         if late == "repair":
-            repair_late_rows(rows, features, spec, columns, lookback, domain=domain, slicing=slicing)
+            repair_late_rows(rows, features, spec, columns, lookback, batch, domain, slicing)
 
     return (
         arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
