@@ -7,7 +7,7 @@ from .compare import Case, compare_results, key_differences, score_summary, scor
 from .contract import check_contract, governed
 from .explode import accepted, drift_counts, explode_polls, extra_fields, missing_fields, rejected
 from .features import ChangeSpec, add_features, change_features
-from .lags import choose_width, latest_rows, with_previous
+from .lags import Cut, choose_cut, latest_rows, with_previous
 from .merge import (
     insert_into, insert_only, new_rows, one_per_key, repeated_keys, split_null_keys, upsert, upsert_into,
 )
@@ -16,8 +16,8 @@ from .quantile import approx_percentile, exact_percentile
 from .topk import cap_rows, top_k
 
 __all__ = [
-    "Case", "ChangeSpec", "GateError", "GateResult", "accepted", "add_features", "approx_key_metrics",
-    "approx_percentile", "cap_rows", "cast_fields", "change_features", "check_contract", "choose_width",
+    "Case", "ChangeSpec", "Cut", "GateError", "GateResult", "accepted", "add_features", "approx_key_metrics",
+    "approx_percentile", "cap_rows", "cast_fields", "change_features", "check_contract", "choose_cut",
     "clean_records", "compare_results", "derived_metrics", "drift_counts", "exact_percentile", "explode_polls",
     "extra_fields", "governed", "insert_into", "insert_only", "issue_rows", "key_differences", "key_metrics",
     "latest_poll", "latest_rows", "layer_lag", "lost_keys", "missing_fields", "new_rows", "one_per_key",

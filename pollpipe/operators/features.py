@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.changes import change, is_frozen, is_large_move
-from .lags import ROWS_PER_TASK, with_previous
+from .lags import ROWS_PER_TASK, Cut, with_previous
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ class ChangeSpec:
 def change_features(
     df: DataFrame,
     spec: ChangeSpec,
-    slicing: int | str | None = "auto",
+    slicing: Cut | int | str | None = "auto",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """All columns of ``df`` plus the features; NULL where a needed predecessor is missing."""

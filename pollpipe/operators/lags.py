@@ -1,24 +1,26 @@
 """Previous values within a series, for series of any length.
 
-``lag`` over a window partitioned by series puts each series into one task. With few
-or very long series that task is the bottleneck, so the same result is also computed
-in two steps:
+``lag`` over a window partitioned by series puts each series into one task. A series that
+is too long for a task is *heavy* and computed in two steps with the same result:
 
-1. Cut every series into slices that are contiguous in time and compute the lags inside
-   each (series, slice). Only the first ``k`` rows of a slice can lack predecessors.
+1. Cut it into slices that are contiguous in time and compute the lags inside each
+   slice. Only the first ``k`` rows of a slice can lack predecessors.
 2. Take the first and last ``k`` rows of every slice, the *edges*, and compute their lags
    over the whole series. All ``k`` predecessors of a first row are edges themselves, so
    this is exact; it moves ``2k`` rows per slice instead of the whole series.
 
-Both steps read one shuffle of the input (the exchange is reused). The slice is a time
-bucket whose width follows from the measured row counts. If no width bounds the slices
-(very many rows of one series at one instant), the rows are range-partitioned by series,
-time and tie-break instead, and the range partition is the slice.
+All other series stay in one slice each and are finished after step 1. Both steps read one
+shuffle of the input (the exchange is reused). The slice is a time bucket whose width
+follows from the measured row counts. If no width bounds the slices (very many rows of one
+series at one instant), heavy rows are range-partitioned by series, time and tie-break,
+and the range partition is the slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,53 +33,73 @@ SECOND = 1_000_000
 # Slice widths to choose from, widest first, in microseconds.
 WIDTHS = tuple(n * SECOND for n in (30 * 86_400, 86_400, 3_600, 60, 1))
 
-_SLICE, _HEAD, _TAIL, _ROW = "__slice", "__head", "__tail", "__row"
+RANGE = "range"
+SAMPLED = 400
+# Beyond this many heavy series, all series count as heavy; bounds what is broadcast.
+MAX_HEAVY = 100_000
+
+_SLICE, _CUT, _HEAD, _TAIL, _ROW, _HEAVY = "__slice", "__cut", "__head", "__tail", "__row", "__heavy"
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How to cut heavy series: slice ``width`` in microseconds or ``"range"``, and the
+    ``heavy`` series themselves (``None``: every series)."""
+
+    width: int | str
+    heavy: tuple[tuple, ...] | None = None
 
 
 def time_slice(time: str, width_micros: int) -> Column:
     return F.floor(micros(F.col(time)) / F.lit(width_micros))
 
 
-def choose_width(
+def choose_cut(
     df: DataFrame, entity: Sequence[str], time: str, depth: int = 1, rows_per_task: int = ROWS_PER_TASK
-) -> int | str | None:
-    """How to cut the series of ``df`` so that no task gets more than ``rows_per_task`` rows.
+) -> Cut | None:
+    """How to cut ``df`` so that no task gets many more than ``rows_per_task`` rows of a series.
 
-    ``None``: no need, every series fits one task. A number: slice width in
-    microseconds. ``"range"``: every width leaves a slice, or the edges of a series, too
-    large. The row count settles small inputs, one pass over the key columns all but bursty
-    feeds. Counts are combined before the shuffle and only maxima reach the driver.
+    ``None`` if no series is longer than that. The row count settles small inputs. For
+    others, series are counted on a sample in which a series of ``rows_per_task`` rows has
+    about ``SAMPLED`` rows. The choice steers the balance only, never the result. The
+    driver sees maxima and the heavy series, at most ``rows / rows_per_task`` of them.
     """
     if df.count() <= rows_per_task:
         return None
-    month, day, *finer = WIDTHS
-    edge = 2 * depth
-    rows = F.count(F.lit(1))
-    sized = (
-        df.groupBy(*entity, time_slice(time, day).alias("day")).agg(rows.alias("n"))
-        .groupBy(*entity, F.floor(F.col("day") / (month // day)).alias("month"))
-        .agg(F.sum("n").alias("n"), F.max("n").alias("day_max"), F.sum(F.least("n", F.lit(edge))).alias("day_edge"))
-        .groupBy(*entity)
-        .agg(
-            F.sum("n").alias("whole"),
-            F.greatest(F.max("n"), F.sum(F.least("n", F.lit(edge)))).alias("month"),
-            F.greatest(F.max("day_max"), F.sum("day_edge")).alias("day"),
-        )
-        .agg(F.max("whole"), F.max("month"), F.max("day"))
-        .first()
-    )
-    for width, largest in zip((None, month, day), sized):
-        if largest is None or largest <= rows_per_task:
-            return width
-    for width in finer:
-        largest = (
-            df.groupBy(*entity, time_slice(time, width).alias(_SLICE)).agg(rows.alias("n"))
-            .groupBy(*entity).agg(F.greatest(F.max("n"), F.sum(F.least("n", F.lit(edge)))).alias("n"))
-            .agg(F.max("n")).first()[0]
-        )
-        if largest <= rows_per_task:
-            return width
-    return "range"
+    fraction = min(1.0, SAMPLED / rows_per_task)
+    limit = rows_per_task * fraction
+    # four standard deviations of the sampled counts, on either side
+    noise = 4 * limit**0.5 if fraction < 1 else 0.0
+    seen = df.select(*entity, time)
+    if fraction < 1:
+        seen = seen.sample(fraction, seed=1)
+    rows, instant = F.count(F.lit(1)), micros(F.col(time))
+    found = seen.groupBy(*entity).agg(rows.alias("n"), (F.max(instant) - F.min(instant)).alias("span"))
+    heavy = found.where(F.col("n") > limit - noise).limit(MAX_HEAVY + 1).collect()
+    if not heavy:
+        return None
+    listed = tuple(tuple(r[: len(entity)]) for r in heavy) if len(heavy) <= MAX_HEAVY else None
+    if listed is not None:
+        seen = seen.join(*_matching(df, entity, listed), "left_semi")
+    for width in WIDTHS:
+        slices = [(r["span"] or 0) // width + 1 for r in heavy]
+        mean = max(r["n"] / n for r, n in zip(heavy, slices))
+        # all edges of a series meet in one task of the second step
+        edges = max(min(r["n"] / fraction, 2 * depth * n) for r, n in zip(heavy, slices))
+        if mean > limit or edges > rows_per_task:
+            continue
+        sizes = seen.groupBy(*entity, time_slice(time, width).alias(_SLICE)).agg(rows.alias("n"))
+        if sizes.agg(F.max("n")).first()[0] <= limit + noise:
+            return Cut(width, listed)
+    return Cut(RANGE, listed)
+
+
+def _matching(df: DataFrame, entity: Sequence[str], heavy: Sequence[tuple]) -> tuple[DataFrame, Column]:
+    """The heavy series as a broadcast frame, and the join condition; NULL matches NULL."""
+    names = [f"__heavy_{i}" for i in range(len(entity))]
+    keys = df.sparkSession.createDataFrame(list(heavy), df.select(*entity).schema).toDF(*names)
+    condition = reduce(Column.__and__, [F.col(e).eqNullSafe(F.col(n)) for e, n in zip(entity, names)])
+    return F.broadcast(keys), condition
 
 
 def with_previous(
@@ -86,29 +108,34 @@ def with_previous(
     time: str,
     previous: Mapping[str, int],
     tiebreak: Sequence[str] = (),
-    slicing: int | str | None = "auto",
+    slicing: Cut | int | str | None = "auto",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Adds ``prev_<column>_1 .. prev_<column>_n`` for every ``column: n`` of ``previous``.
 
     Predecessors are counted in rows of the same series, rows with a NULL value included.
     ``tiebreak`` orders rows of one series at the same time. ``slicing`` is ``"auto"``
-    (measure, then decide), ``None`` (one window per series), a slice width in
-    microseconds, or ``"range"``.
+    (measure, then decide), ``None`` (one window per series), a :class:`Cut`, or to cut
+    every series a slice width in microseconds or ``"range"``.
     """
     if not previous or min(previous.values()) < 1:
         raise ValueError("ask for at least one predecessor of at least one column")
     order = [time, *tiebreak]
     if slicing == "auto":
-        slicing = choose_width(df, entity, time, max(previous.values()), rows_per_task)
+        slicing = choose_cut(df, entity, time, max(previous.values()), rows_per_task)
     if slicing is None:
-        whole = Window.partitionBy(*entity).orderBy(*order)
-        return df.withColumns(_lag_columns(previous, whole))
-    if slicing == "range":
-        sliced, order = _range_slices(df, entity, order, rows_per_task)
+        return _whole(df, entity, order, previous)
+    cut = slicing if isinstance(slicing, Cut) else Cut(slicing)
+    if cut.width == RANGE:
+        return _by_range(df, entity, order, previous, cut, rows_per_task)
+    bucket = time_slice(time, cut.width)
+    if cut.heavy is None:
+        sliced = df.withColumn(_SLICE, bucket)
     else:
-        sliced = df.withColumn(_SLICE, time_slice(time, slicing))
-    return _two_step(sliced, list(df.columns), entity, order, previous)
+        keys, condition = _matching(df, entity, cut.heavy)
+        marked = df.join(keys.withColumn(_HEAVY, F.lit(True)), condition, "left")
+        sliced = marked.withColumn(_SLICE, F.when(F.col(_HEAVY), bucket)).select(*df.columns, _SLICE)
+    return _two_step(sliced, df.columns, entity, order, previous)
 
 
 def _lag_columns(previous: Mapping[str, int], window) -> dict[str, Column]:
@@ -119,48 +146,55 @@ def _lag_columns(previous: Mapping[str, int], window) -> dict[str, Column]:
     }
 
 
-def _range_slices(
-    df: DataFrame, entity: Sequence[str], order: list[str], rows_per_task: int
-) -> tuple[DataFrame, list[str]]:
+def _whole(df: DataFrame, entity: Sequence[str], order: list[str], previous: Mapping[str, int]) -> DataFrame:
+    return df.withColumns(_lag_columns(previous, Window.partitionBy(*entity).orderBy(*order)))
+
+
+def _by_range(
+    df: DataFrame, entity: Sequence[str], order: list[str], previous: Mapping[str, int], cut: Cut, rows_per_task: int
+) -> DataFrame:
+    long, rest = df, None
+    if cut.heavy is not None:
+        long = df.join(*_matching(df, entity, cut.heavy), "left_semi")
+        rest = df.join(*_matching(df, entity, cut.heavy), "left_anti")
     # The row number splits even groups of identical copies. It depends on the input split
     # and the range bounds are sampled, so both are written down before they are relied on:
     # a task that is run again must not see other numbers or bounds.
-    numbered = checkpoint(df.withColumn(_ROW, F.monotonically_increasing_id()))
+    numbered = checkpoint(long.withColumn(_ROW, F.monotonically_increasing_id()))
     parts = max(2, -(-numbered.count() // rows_per_task))
-    ranged = numbered.repartitionByRange(parts, *entity, *order, _ROW).withColumn(
-        _SLICE, F.spark_partition_id().cast("bigint")
+    ranged = checkpoint(
+        numbered.repartitionByRange(parts, *entity, *order, _ROW).withColumn(
+            _SLICE, F.spark_partition_id().cast("bigint")
+        )
     )
-    return checkpoint(ranged), [*order, _ROW]
+    result = _two_step(ranged, df.columns, entity, [*order, _ROW], previous)
+    return result if rest is None else result.unionByName(_whole(rest, entity, order, previous))
 
 
 def _two_step(
-    sliced: DataFrame,
-    columns: list[str],
-    entity: Sequence[str],
-    order: list[str],
-    previous: Mapping[str, int],
+    sliced: DataFrame, columns: Sequence[str], entity: Sequence[str], order: list[str], previous: Mapping[str, int]
 ) -> DataFrame:
+    """Lags of rows with a slice column; a NULL slice means the series is not cut."""
     depth = max(previous.values())
     inside = Window.partitionBy(*entity, _SLICE).orderBy(*order)
     across = Window.partitionBy(*entity).orderBy(*order)
-    lagged = sliced.withColumns(
+    # The flag is a column of its own: a condition on the slice would be pushed below the
+    # window into one of the two branches, which then could not share the shuffle.
+    lagged = sliced.withColumn(_CUT, F.col(_SLICE).isNotNull()).withColumns(
         {
             **_lag_columns(previous, inside),
-            _HEAD: F.lag(F.lit(True), depth).over(inside).isNull(),
-            _TAIL: F.lead(F.lit(True), depth).over(inside).isNull(),
+            _HEAD: F.col(_CUT) & F.lag(F.lit(True), depth).over(inside).isNull(),
+            _TAIL: F.col(_CUT) & F.lead(F.lit(True), depth).over(inside).isNull(),
         }
     )
     result = [*columns, *_lag_columns(previous, across)]
+    inputs = [*columns, *[c for c in order if c not in columns]]
     interior = lagged.where(~F.col(_HEAD)).select(*result)
-    edges = lagged.where(F.col(_HEAD) | F.col(_TAIL)).select(*columns, *_extra(sliced, columns), _HEAD)
+    edges = lagged.where(F.col(_HEAD) | F.col(_TAIL)).select(*inputs, _HEAD)
     heads = edges.withColumns(_lag_columns(previous, across)).where(F.col(_HEAD)).select(*result)
     return interior.unionByName(heads)
 
 
-def _extra(sliced: DataFrame, columns: list[str]) -> list[str]:
-    return [_ROW] if _ROW in sliced.columns and _ROW not in columns else []
-
-
 def latest_rows(
     df: DataFrame, entity: Sequence[str], time: str, n: int = 1, tiebreak: Sequence[str] = ()
 ) -> DataFrame:

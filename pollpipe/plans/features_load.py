@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import micros
 from ..operators.features import ChangeSpec, add_features, change_features
-from ..operators.lags import choose_width, latest_rows, with_previous
+from ..operators.lags import Cut, choose_cut, latest_rows, with_previous
 from ..operators.merge import new_rows, upsert_into
 from ..sources.tables import FeedTable, from_micros, to_micros
 
@@ -26,7 +26,7 @@ def features_of_new_rows(
     history: DataFrame,
     new: DataFrame,
     spec: ChangeSpec,
-    slicing: int | str | None = "auto",
+    slicing: Cut | int | str | None = "auto",
 ) -> DataFrame:
     """Features of the rows of ``new``, given the rows of ``history`` before them.
 
@@ -36,7 +36,7 @@ def features_of_new_rows(
     context = latest_rows(history, spec.entity, spec.time, spec.lookback, spec.tiebreak)
     if slicing == "auto":
         # the context adds only a few rows per series
-        slicing = choose_width(new, spec.entity, spec.time, spec.lookback)
+        slicing = choose_cut(new, spec.entity, spec.time, spec.lookback)
     both = context.withColumn(_NEW, F.lit(False)).unionByName(new.withColumn(_NEW, F.lit(True)))
     featured = change_features(both, spec, slicing)
     return featured.where(F.col(_NEW)).drop(_NEW)
@@ -49,7 +49,7 @@ def build_features(
     columns: Sequence[str],
     lookback: dt.timedelta | None,
     domain: tuple[str, str] | None = None,
-    slicing: int | str | None = "auto",
+    slicing: Cut | int | str | None = "auto",
 ) -> bool:
     """Compute the features of source rows newer than the target and upsert them.
 
@@ -72,7 +72,7 @@ def build_features(
 
 
 def affected_by_late_rows(
-    rows: DataFrame, late: DataFrame, spec: ChangeSpec, slicing: int | str | None = "auto"
+    rows: DataFrame, late: DataFrame, spec: ChangeSpec, slicing: Cut | int | str | None = "auto"
 ) -> DataFrame:
     """Features of every late row and of the rows whose predecessors now include one.
 
@@ -81,7 +81,7 @@ def affected_by_late_rows(
     """
     key = [*spec.entity, spec.time]
     if slicing == "auto":
-        slicing = choose_width(rows, spec.entity, spec.time, spec.lookback)
+        slicing = choose_cut(rows, spec.entity, spec.time, spec.lookback)
     # one row per late key: the mark cannot multiply rows
     marks = late.select(*key).distinct().withColumn(_LATE, F.lit(True))
     of_series = rows.join(late.select(*spec.entity).distinct(), list(spec.entity), "left_semi")
@@ -102,7 +102,7 @@ def repair_late_rows(
     lookback: dt.timedelta | None,
     arrived: DataFrame | None = None,
     domain: tuple[str, str] | None = None,
-    slicing: int | str | None = "auto",
+    slicing: Cut | int | str | None = "auto",
 ) -> bool:
     """Add source rows that the watermark skipped, and recompute the rows after them.
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.explode import explode_polls
 from ..operators.features import ChangeSpec
+from ..operators.lags import Cut
 from ..operators.merge import insert_into, one_per_key, split_null_keys
 from ..plans.features_load import build_features, repair_late_rows
 from ..plans.layers import SilverPlan, silver_rows
@@ -71,7 +72,7 @@ def stream_features(
     checkpoint: str,
     late: str = "drop",
     domain: tuple[str, str] | None = None,
-    slicing: int | str | None = "auto",
+    slicing: Cut | int | str | None = "auto",
 ) -> StreamingQuery:
     """For every batch of ``arrivals``: insert it into ``source``, then update the features.
 

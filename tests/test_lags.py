@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pollpipe.operators import ChangeSpec, change_features, choose_width, latest_rows, with_previous
+from pollpipe.operators import ChangeSpec, Cut, change_features, choose_cut, latest_rows, with_previous
 from pollpipe.operators.lags import SECOND
 
 START = dt.datetime(2024, 1, 1)
@@ -56,7 +56,7 @@ def test_copies_at_one_instant(spark):
     rows = [(1, "hot", START, 1.0, 1.0)] * 400
     rows += [(i, f"s{i % 50}", START + dt.timedelta(seconds=i), float(i % 2), 1.0) for i in range(800)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert choose_width(df, ["series"], "t", 2, rows_per_task=100) == "range"
+    assert choose_cut(df, ["series"], "t", 2, rows_per_task=100) == Cut("range", (("hot",),))
     got = with_previous(df, ["series"], "t", {"v": 2}, ["id"], rows_per_task=100)
     plain = with_previous(df, ["series"], "t", {"v": 2}, ["id"], slicing=None)
     assert collected(got) == collected(plain)
@@ -66,17 +66,30 @@ def test_copies_at_one_instant(spark):
 def test_width_follows_the_largest_series(spark):
     rows = [(i, "a", START + dt.timedelta(hours=i), 1.0, 1.0) for i in range(2400)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert choose_width(df, ["series"], "t", 1, rows_per_task=5000) is None
-    assert choose_width(df, ["series"], "t", 1, rows_per_task=1000) == 30 * DAY
-    assert choose_width(df, ["series"], "t", 1, rows_per_task=250) == DAY
+    cut = lambda n: choose_cut(df, ["series"], "t", 1, rows_per_task=n)
+    assert cut(5000) is None
+    assert cut(1000) == Cut(30 * DAY, (("a",),))
+    assert cut(250) == Cut(DAY, (("a",),))
     # one-hour slices would make every row an edge of the one series
-    assert choose_width(df, ["series"], "t", 1, rows_per_task=20) == "range"
-    assert choose_width(df.limit(0), ["series"], "t") is None
+    assert cut(20) == Cut("range", (("a",),))
+    assert choose_cut(df.limit(0), ["series"], "t") is None
 
 
-def test_sliced_plan_reads_one_shuffle_and_keeps_codegen(spark):
+@pytest.mark.parametrize("width", [DAY, "range"])
+def test_only_heavy_series_are_cut(spark, width):
+    """The NULL series is heavy, the others go through in one piece."""
+    df = skewed(spark).withColumn("series", F.when(F.col("series") != "hot", F.col("series")))
+    plain = with_previous(df, ["series"], "t", {"v": 5}, ["id"], slicing=None)
+    got = with_previous(df, ["series"], "t", {"v": 5}, ["id"], slicing=Cut(width, ((None,),)), rows_per_task=200)
+    assert collected(got) == collected(plain)
+    auto = choose_cut(df, ["series"], "t", 5, rows_per_task=300)
+    assert auto.heavy == ((None,),)
+
+
+@pytest.mark.parametrize("cut", [DAY, Cut(DAY, (("hot",),))])
+def test_sliced_plan_reads_one_shuffle_and_keeps_codegen(spark, cut):
     df = skewed(spark)
-    frame = with_previous(df, ["series"], "t", {"v": 5}, ["id"], slicing=DAY)
+    frame = with_previous(df, ["series"], "t", {"v": 5}, ["id"], slicing=cut)
     frame.collect()
     plan = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan
