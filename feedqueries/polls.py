@@ -17,7 +17,7 @@ from pollpipe.plans import SilverPlan, gates, load_bronze, load_gold, load_silve
 from pollpipe.presets import perpetuals as preset
 from pollpipe.sources import FeedTable, classify_polls, read_polls
 
-from .registry import fresh_dir, in_files, landed, query, table
+from .registry import arriving, fresh_dir, landed, query
 
 PLAN = SilverPlan(preset.FEED, preset.derived_columns, preset.quality_rules)
 GOLD_COLUMNS = preset.GOLD_CONTRACT.names
@@ -36,7 +36,7 @@ def listed(tags) -> Column:
 
 def props_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One poll per event around its ``props``, which gains a field for some events."""
-    events = table(spark, sf_dir, "events")
+    events = arriving(spark, sf_dir, "events")
     drifted = F.when(F.col("event_id") % 3 == 0, F.replace("props", F.lit("}"), F.lit(', "x": 1}'))).otherwise(
         F.col("props")
     )
@@ -88,7 +88,7 @@ def drift_counters(spark, sf_dir):
 """)
 def poll_explode(spark, sf_dir):
     """Polls of two records each become one row per record, with their poll's columns."""
-    events = table(spark, sf_dir, "events")
+    events = arriving(spark, sf_dir, "events")
     first = F.to_json(F.struct("event_id", F.col("event_type").alias("kind"), "value", F.get_json_object(
         "props", "$.k").cast("bigint").alias("k")))
     second = F.to_json(
@@ -109,7 +109,7 @@ def poll_explode(spark, sf_dir):
 
 def broken_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One poll per event; the events' kinds decide what is wrong with it."""
-    events = table(spark, sf_dir, "events")
+    events = arriving(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     whole = F.concat(F.lit('{"data": ['), "props", F.lit("]}"))
     polls = events.select(
@@ -190,7 +190,7 @@ def poll_outcomes(spark, sf_dir):
 
 def feed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poll envelopes of the preset's feed, one per event."""
-    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    events = arriving(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     k, ts = F.col("k"), F.col("ts").cast("timestamp")
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (10 - k).cast("decimal(18,6)"))
     minutes = F.make_dt_interval(F.lit(0), F.lit(0), (k - 20).cast("int"))
@@ -236,7 +236,7 @@ def feed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed after a round trip through landed JSON files."""
     path = fresh_dir(spark, "polls")
-    in_files(feed_polls(spark, sf_dir)).write.json(path)
+    feed_polls(spark, sf_dir).write.json(path)
     return read_polls(spark, path)
 
 

@@ -13,7 +13,7 @@ from pollpipe.presets.perpetuals import quality_rules
 from pollpipe.spec import Field
 
 from .polls import listed
-from .registry import landed, query, table
+from .registry import arriving, landed, query, table
 
 # ------------------------------------------------------------------ casting
 
@@ -29,7 +29,7 @@ FIELDS = (
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as JSON records in which the line number decides what is malformed."""
-    li = table(spark, sf_dir, "lineitem")
+    li = arriving(spark, sf_dir, "lineitem")
     n = F.col("l_linenumber")
     quantity = F.col("l_quantity").cast("string")
     day = F.date_format("l_shipdate", "yyyy-MM-dd")

@@ -45,15 +45,13 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 
 def landed(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to and read from the shared scratch space, as if it had arrived there.
-
-    Like a real feed it arrives in several files, whatever the file layout of its source.
-    """
+    """``df`` written to and read from the shared scratch space, as if it had arrived there."""
     path = fresh_dir(df.sparkSession, label)
-    in_files(df).write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def in_files(df: DataFrame) -> DataFrame:
-    """Spread over as many files as the session runs tasks at a time."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table spread over several tasks, as a feed arrives in several files, whatever the
+    file layout of the table."""
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)

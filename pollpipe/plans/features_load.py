@@ -12,6 +12,7 @@ from ..functions.derive import micros
 from ..operators.features import ChangeSpec, add_features, change_features
 from ..operators.lags import Cut, choose_cut, latest_rows, with_previous
 from ..operators.merge import new_rows, upsert_into
+from ..session import checkpoint
 from ..sources.tables import FeedTable, from_micros, to_micros
 
 _NEW, _LATE = "__new", "__late"
@@ -115,7 +116,8 @@ def repair_late_rows(
     if watermark is None:
         return False
     key = (*spec.entity, spec.time)
-    late = late_keys(source, target, key, arrived, domain)
+    # small, and used several times: found once
+    late = checkpoint(late_keys(source, target, key, arrived, domain))
     bounds = late.agg(F.min(micros(F.col(spec.time))), F.max(micros(F.col(spec.time)))).first()
     first, last = (from_micros(b) for b in bounds)
     if first is None:
@@ -123,7 +125,7 @@ def repair_late_rows(
     since = None if lookback is None else first - lookback
     until = watermark if lookback is None else min(watermark, last + lookback)
     around = _of_domain(source.read(since=since, until=until), domain)
-    fixed = affected_by_late_rows(around, late, spec, slicing).select(*columns)
+    fixed = checkpoint(affected_by_late_rows(around, late, spec, slicing).select(*columns))
     upsert_into(target, fixed, key)
     return True
 
