@@ -42,8 +42,11 @@ class FeedTable:
             return self.spark.catalog.tableExists(self.location)
         try:
             return DATE in self.spark.read.parquet(self.location).columns
-        except AnalysisException:
-            return False
+        except AnalysisException as problem:
+            # any other problem must not look like a table that is still to be created
+            if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
     def _stored(self) -> DataFrame:
         return self.spark.read.parquet(self.location) if self.by_path else self.spark.table(self.location)

@@ -73,6 +73,16 @@ def test_stored_merges(spark, tmp_path, named):
         upsert_into(table, frame(spark, [("a", 1, 1.0), ("a", 1, 2.0)]), KEY)
 
 
+def test_only_a_missing_folder_counts_as_absent(spark, tmp_path):
+    assert not FeedTable(spark, str(tmp_path / "nothing"), "t").exists()
+    (tmp_path / "empty").mkdir()
+    assert not FeedTable(spark, str(tmp_path / "empty"), "t").exists()
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        FeedTable(spark, str(tmp_path / "other"), "t").exists()
+
+
 def test_bounds_prune_and_push_down(spark, tmp_path):
     table = FeedTable(spark, str(tmp_path / "t"), "t")
     table.append(frame(spark, [("a", h, float(h)) for h in range(100)]))
