@@ -61,17 +61,15 @@ def exact_groups(
         ),
         "exact-rows",
     )
-    groups = (
-        rows.where("again")
-        .groupBy("key")
-        .agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("size"))
-        .where("size > 1")
-    )
-    lone = F.col("size").isNull()
-    return rows.join(groups, "key", "left").select(
+    repeated = rows.where("again")
+    groups = repeated.groupBy("key").agg(F.max(F.struct("id", "row")).alias("best"), F.count("*").alias("size"))
+    # Written first, so that the join shuffles both sides plainly and a hot key can be split.
+    groups = written(groups, "exact-groups")
+    unique = rows.where("not again").select("*", F.struct("id", "row").alias("best"), F.lit(1).cast("long").alias("size"))
+    return unique.drop("key").unionByName(repeated.join(groups, "key").drop("key")).select(
         F.col("id").alias("doc_id"),
-        F.when(lone, F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
-        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (lone | (F.col("row") == F.col("best.row"))).alias("kept"),
+        F.col("best.id").alias("keep_id"),
+        F.col("size").alias("group_size"),
+        (F.col("row") == F.col("best.row")).alias("kept"),
         *(F.col(f"x.{n}").alias(n) for n in carry),
     )

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import chat_turns
 from .common import ascii_lower, table
 from .exact import exact_groups
 from .mix import mix
+from .quality import quality
 from .registry import query
+from .secret_scan import scan, spans_text
+from .simhash import simhash_groups
 
 
 @query(
@@ -68,3 +72,45 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query()
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(spans_text(base), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query(
+    r"""
+    WITH d AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+    p AS (
+        SELECT *, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS turns,
+            string_agg(coalesce('r' || role, '-') || chr(1) || coalesce('t' || text, '-'), chr(2)) OVER w AS prefix
+        FROM d WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    ), e AS (SELECT prefix, min(conv_id) AS conv_id, count(*) AS copies FROM p WHERE place = turns GROUP BY prefix),
+    k AS (SELECT * FROM e WHERE prefix NOT IN (SELECT prefix FROM p WHERE place < turns))
+    SELECT p.conv_id, place, turns, copies, coalesce(role, 'user') AS role,
+        '<|im_start|>' || coalesce(role, 'user') || chr(10)
+            || regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '< |\1| >', 'g') || '<|im_end|>' || chr(10) AS rendered
+    FROM p JOIN k USING (conv_id)
+    """
+)
+def op10_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_turns(table(spark, sf_dir, "conversations"))
