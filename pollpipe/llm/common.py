@@ -39,9 +39,14 @@ def word_count(text: Column) -> Column:
     return F.when(text == "", 0).otherwise(inner).cast("long")
 
 
+def fresh(spark: SparkSession, label: str) -> str:
+    """A new path in the folder shared by the cluster."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the folder shared by the cluster: computed once, survives executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = fresh(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,13 +6,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import chat_turns
-from .common import ascii_lower, table
+from .common import ascii_lower, fresh, table, written
 from .exact import exact_groups
+from .imatch import fingerprints
 from .mix import mix
+from .packing import pack, tokenize
 from .quality import quality
 from .registry import query
 from .secret_scan import scan, spans_text
 from .simhash import simhash_groups
+from .warc import page_of, read_warc, write_warc
+
+#: Vocabulary of the public byte-level tokenizer, as installed.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        page_of(F.col("record_id")).cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), page_of(F.col("refers_to")).cast("long").alias("refers_to"),
+    )
+
+
+@query()
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tokenize(table(spark, sf_dir, "documents"), tokenizer_path())
+    pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack(written(pieces, "pieces"))
 
 
 @query(
@@ -74,6 +103,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+@query()
+def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
