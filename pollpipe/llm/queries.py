@@ -13,6 +13,7 @@ from .mix import mix
 from .packing import pack, tokenize
 from .quality import quality
 from .registry import query
+from .runindex import remove_repeats
 from .secret_scan import scan, spans_text
 from .simhash import simhash_groups
 from .warc import page_of, read_warc, write_warc
@@ -108,6 +109,15 @@ def op4_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate(F.zip_with("ends", "starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, b: a + b)
+    return found.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
