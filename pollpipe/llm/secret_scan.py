@@ -30,6 +30,8 @@ ENCODINGS = (
     ("base64", "^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 20),
     ("base64url", "^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 20),
 )
+#: Matches of a text that are placed together.
+SPANS = 256
 #: Steps of -log10 p in which false discoveries are counted, and their number.
 STEP, STEPS = 0.125, 160
 
@@ -37,21 +39,34 @@ STEP, STEPS = 0.125, 160
 def spans(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches of ``pattern``: array of (start, end, found), code points.
 
-    The gaps between matches are what splitting by the same pattern leaves.
+    The gaps between matches are what splitting by the same pattern leaves. Their lengths are
+    summed by ``SPANS`` matches at a time and then over those, so that a text with very many
+    matches does not take time by their square.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     none = F.array().cast("array<struct<start:int,end:int,found:string>>")
+    size = lambda p: F.char_length(p["gap"]) + F.char_length(p["found"])
 
     def add(done: Column, pair: Column) -> Column:
         last = F.when(F.size(done) > 0, F.element_at(done, -1)["end"]).otherwise(F.lit(0))
-        start = last + F.char_length(pair["gap"])
-        return F.concat(done, F.array(F.struct(
-            start.cast("int").alias("start"), (start + F.char_length(pair["found"])).cast("int").alias("end"), pair["found"].alias("found"),
-        )))
+        return F.concat(done, F.array(_span(last + F.char_length(pair["gap"]), last + size(pair), pair["found"])))
+
+    def placed(pairs: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / SPANS).cast("int")), lambda i: F.slice(pairs, i * SPANS + 1, SPANS))
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, p: n + size(p)))
+        before = F.aggregate(totals, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        inner = F.arrays_zip(F.transform(chunks, lambda c: F.aggregate(c, none, add)).alias("own"), F.slice(before, 1, F.size(chunks)).alias("at"))
+        return F.flatten(F.transform(inner, lambda x: F.transform(x["own"], lambda s: _span(s["start"] + x["at"], s["end"] + x["at"], s["found"]))))
 
     pairs = F.filter(F.arrays_zip(gaps.alias("gap"), found.alias("found")), lambda p: p["found"].isNotNull())
-    return F.when(F.regexp_like(text, F.lit(pattern)), F.aggregate(pairs, none, add)).otherwise(none)
+    # As the only element of an array, the pairs are computed once however often they are used.
+    once = F.element_at(F.transform(F.array(pairs), placed), 1)
+    return F.when(F.regexp_like(text, F.lit(pattern)), once).otherwise(none)
+
+
+def _span(start: Column, end: Column, found: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), found.alias("found"))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -68,14 +83,23 @@ def _encoding(found: Column, pick) -> Column:
     return reduce(lambda rest, e: F.when(F.regexp_like(found, F.lit(e[1])), pick(e)).otherwise(rest), reversed(ENCODINGS), F.lit(None))
 
 
+def _kind(c: Column) -> Column:
+    return F.when(c.between("a", "z"), 0).when(c.between("A", "Z"), 1).when(c.between("0", "9"), 2).otherwise(3)
+
+
+def _is(kind: int):
+    return lambda y: y == kind
+
+
 def battery(found: Column) -> Column:
     """Probability of a string at least as uneven as ``found`` among random strings of its
     inferred encoding and length; NULL if it is in none or too short for one.
 
-    Three tests over the characters' places in the alphabet of k characters: chi-squared of their
-    counts against uniformity (by the cube-root approximation of Wilson and Hilferty, both tails),
-    the number of runs below and above the middle, and the correlation of each with the
-    next. The least of the three, times three, is the joint value (Bonferroni).
+    Three tests: chi-squared of the counts of the k characters of the alphabet against uniformity
+    (by the cube-root approximation of Wilson and Hilferty, both tails), the number of runs of
+    lower case, upper case, digits and others against what their order by chance would give, and
+    the correlation of each character's place in the alphabet with the next one's. The least of
+    the three, times three, is the joint value (Bonferroni).
     """
     alphabet = _encoding(found, lambda e: F.lit(e[2]))
     plain = F.when(F.regexp_like(found, F.lit("^[0-9A-F]+$")), F.lower(found)).otherwise(
@@ -83,7 +107,7 @@ def battery(found: Column) -> Column:
     )
     places = F.transform(F.split(plain, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
     k, n = F.char_length(alphabet).cast("double"), F.char_length(found).cast("double")
-    held = F.struct(places.alias("v"), k.alias("k"), n.alias("n"), F.split(plain, "").alias("c"))
+    held = F.struct(places.alias("v"), k.alias("k"), n.alias("n"), F.transform(F.split(found, ""), _kind).alias("kinds"))
 
     def joint(x: Column) -> Column:
         v, k, n = x["v"], x["k"], x["n"]
@@ -91,13 +115,13 @@ def battery(found: Column) -> Column:
         squares = total(F.transform(F.array_distinct(v), lambda p: F.pow(F.size(F.filter(v, lambda y: y == p)).cast("double"), F.lit(2.0))))
         chi, df = squares * k / n - n, k - 1
         chi_z = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-        high = F.transform(v, lambda y: F.when(y >= k / 2, 1.0).otherwise(0.0))
-        next_high = F.slice(high, 2, F.size(high))
-        runs = 1 + total(F.zip_with(F.slice(high, 1, F.size(high) - 1), next_high, lambda a, b: F.abs(a - b)))
-        ups = total(high)
-        mean = 2 * ups * (n - ups) / n + 1
-        var = (mean - 1) * (mean - 2) / (n - 1)
-        runs_z = F.when(var > 0, F.try_divide(runs - mean, F.sqrt(var))).otherwise(F.lit(9.0))
+        kinds = x["kinds"]
+        runs = 1 + total(F.zip_with(F.slice(kinds, 1, F.size(kinds) - 1), F.slice(kinds, 2, F.size(kinds)), lambda a, b: (a != b).cast("double")))
+        each = [F.size(F.filter(kinds, _is(kind))).cast("double") for kind in range(4)]
+        twos, threes = (sum((F.pow(c, F.lit(e)) for c in each), F.lit(0.0)) for e in (2.0, 3.0))
+        mean = n + 1 - twos / n
+        var = (twos * (twos + n * (n + 1)) - 2 * n * threes - n * n * n) / (n * n * (n - 1))
+        runs_z = F.when(var > 0, F.try_divide(runs - mean, F.sqrt(F.greatest(var, F.lit(0.0))))).otherwise(F.lit(9.0))
         centre = total(v) / n
         off = F.transform(v, lambda y: y - centre)
         spread = total(F.transform(off, lambda y: y * y))
@@ -151,10 +175,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", level: flo
         first_rejected = lambda t: limit
     tests = F.coalesce("tests", F.array())
     random = F.filter(tests, lambda t: t["step"].isNotNull() & t["varied"] & (t["step"] < first_rejected(t)))
-    parts = [
-        F.transform(column, lambda s, k=kind: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end"), s["found"].alias("found")))
-        for kind, column in enumerate((F.col("assign"), F.col("access"), F.col("hex"), random))
-    ]
+    parts = [_ranked(column, kind) for kind, column in enumerate((F.col("assign"), F.col("access"), F.col("hex"), random))]
     ordered = F.array_sort(F.concat(*parts))
     names = F.array(*(F.lit(k) for k in KINDS))
     return rows.select("doc_id", F.transform(ordered, lambda s: F.struct(
@@ -162,6 +183,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", level: flo
     )).alias("spans"))
 
 
+def _ranked(spans: Column, kind: int) -> Column:
+    """Spans in a form that sorts by start and kind."""
+    return F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.lit(kind).alias("rank"), s["end"].alias("end"), s["found"].alias("found"),
+    ))
+
+
 def _stratum(found: Column) -> Column:
     """Encoding and length class (by powers of the square root of two) that are judged together."""
     name = _encoding(found, lambda e: F.lit(e[0]))
