@@ -143,8 +143,15 @@ def large_move_threshold(spark, sf_dir):
     return spark.range(1).select(F.round(F.lit(threshold), 6).alias("threshold"))
 
 
-@query()
+@query(f"SELECT count(value_change) AS moves, count(value_change) > 0 AS within FROM ({FEATURES_SQL}) f")
 def large_move_threshold_approx(spark, sf_dir):
-    """Calibration from a sketch in one pass; close to, not equal to, the exact value."""
-    moves = features(spark, sf_dir).select(F.abs("value_change").alias("move"))
-    return approx_percentile(moves, "move", 0.99)
+    """Calibration from a sketch, and whether its rank is as near to the wanted one as promised."""
+    moves = features(spark, sf_dir).select(F.abs("value_change").alias("move")).where("move is not null")
+    threshold, accuracy = approx_percentile(moves, "move", 0.99, 10_000).first()[0], 10_000
+    ranks = moves.agg(
+        F.count(F.lit(1)).alias("moves"), F.count_if(F.col("move") < threshold).alias("below"),
+        F.count_if(F.col("move") <= threshold).alias("upto"),
+    )
+    room = F.greatest(F.col("moves") * (2 / accuracy), F.lit(1.0))
+    within = (F.col("below") <= 0.99 * F.col("moves") + room) & (F.col("upto") >= 0.99 * F.col("moves") - room)
+    return ranks.select("moves", within.alias("within"))

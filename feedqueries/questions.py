@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from pollpipe.operators import governed, latest_rows, top_k
+from pollpipe.operators import cap_rows, governed, latest_rows, top_k
 from pollpipe.plans import analytics as ask
 from pollpipe.spec import Contract, ContractColumn
 
@@ -24,7 +24,7 @@ def as_of():
 @query(f"""
     SELECT event_type, round(avg(value), 6) AS average_value FROM events
     WHERE ts >= {AS_OF_SQL} - INTERVAL 7 DAY
-    GROUP BY event_type ORDER BY avg(value) DESC, event_type LIMIT 50
+    GROUP BY event_type ORDER BY avg(value) DESC, event_type
 """)
 def average_by_type(spark, sf_dir):
     """Average value per type over the last 7 days."""
@@ -39,9 +39,9 @@ def average_by_type(spark, sf_dir):
     WHERE ts >= {AS_OF_SQL} - INTERVAL 30 DAY GROUP BY user_id
 """)
 def average_by_user(spark, sf_dir):
-    """Average value of every user over the default window, uncapped."""
-    rows = ask.recent(table(spark, sf_dir, "events"), "ts", as_of=as_of())
-    return rows.groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("average_value"))
+    """Average value of every user over the default window."""
+    means = ask.average_by(table(spark, sf_dir, "events"), ["user_id"], "value", "ts", as_of=as_of(), name="average_value")
+    return means.withColumn("average_value", F.round("average_value", 6))
 
 
 @query("""
@@ -69,17 +69,40 @@ def largest_moves(spark, sf_dir):
     FROM ({FEATURES_SQL}) f
     WHERE is_large_move AND ts >= {AS_OF_SQL} - INTERVAL 30 DAY
     GROUP BY user_id, event_type
-    ORDER BY large_move_count DESC, user_id, event_type LIMIT 50
+    ORDER BY large_move_count DESC, user_id, event_type
 """)
 def large_move_counts(spark, sf_dir):
     """Series with large moves: how many, and when last."""
     return ask.large_move_counts(features(spark, sf_dir), SERIES, "ts", 30, as_of())
 
 
+@query("SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey ORDER BY n DESC, l_orderkey")
+def counts_of_many_groups(spark, sf_dir):
+    """Rows per order, most first: far more than 10,000 groups, all of them returned."""
+    return ask.rows_by(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+
+
+@query("""
+    SELECT user_id, event_type, value, ts FROM (
+        SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+    ) newest ORDER BY ts DESC, user_id, event_type LIMIT 25
+""")
+def newest_series(spark, sf_dir):
+    """The 25 series that were seen last, newest first."""
+    return ask.latest_values(table(spark, sf_dir, "events"), SERIES, "ts", ["value"], ["event_id"], k=25)
+
+
+@query("SELECT least(count(*), 5000) AS rows, count(*) > 5000 AS truncated FROM events")
+def capped_rows(spark, sf_dir):
+    """A capped result says whether it was cut."""
+    capped = cap_rows(table(spark, sf_dir, "events").select("event_id"), 5000)
+    return capped.rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("truncated", F.lit(capped.truncated))
+
+
 @query(f"""
     SELECT user_id, event_type, max(ts) AS last_seen_at FROM ({FEATURES_SQL}) f
     WHERE is_frozen AND ts >= {AS_OF_SQL} - INTERVAL 30 DAY
-    GROUP BY user_id, event_type ORDER BY last_seen_at DESC, user_id, event_type LIMIT 10000
+    GROUP BY user_id, event_type ORDER BY last_seen_at DESC, user_id, event_type
 """)
 def frozen_entities(spark, sf_dir):
     """Series that were frozen at some time in the window."""
@@ -111,7 +134,7 @@ def change_correlation(spark, sf_dir):
     return rows.where(F.col("pairs") > 0).withColumn("correlation", F.round("correlation", 6))
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, event_type LIMIT 10000")
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY n DESC, event_type")
 def entity_counts(spark, sf_dir):
     """Rows per type, largest first."""
     return ask.rows_by(table(spark, sf_dir, "events"), ["event_type"])

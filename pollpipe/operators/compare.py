@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REL_TOL, ABS_TOL = 1e-3, 1e-12
-# A golden result with more keys may legitimately be cut by the row cap.
-MISSING_KEYS_LIMIT = 50
+NO_ROWS, REPEATED = "the actual side is empty", "the actual side has several rows for one key"
 
 
 @dataclass(frozen=True)
@@ -30,6 +29,7 @@ class Case:
     key: tuple[str, ...]
     check_values: bool = False
     rel_tol: float = REL_TOL
+    allow_missing: bool = False
 
 
 def numeric_columns(df: DataFrame, key: Sequence[str]) -> list[str]:
@@ -102,25 +102,27 @@ def compare_results(
     key: Sequence[str],
     check_values: bool = False,
     rel_tol: float = REL_TOL,
-    missing_limit: int = MISSING_KEYS_LIMIT,
+    allow_missing: bool = False,
 ) -> DataFrame:
-    """One verdict row: ``passed``, the ``reason`` (``ok`` or the first failed check) and
-    ``repeated_golden``, the number of golden keys with several rows.
+    """One verdict row: ``passed``, the ``reason`` (``ok`` or the first failed check),
+    ``repeated_golden``, the number of golden keys with several rows, and ``missing``, the
+    number of golden keys that are not in actual (NULL if a side lacks key columns).
 
     Checks in order: the actual side has rows; both sides have the key columns; no
-    repeated keys in actual; no unknown keys; no missing keys (only for a golden side of
-    at most ``missing_limit`` keys); close values if asked for.
+    repeated keys in actual; no unknown keys; no missing keys, unless the caller knows that
+    the actual side was cut and says so with ``allow_missing``; close values if asked for.
     """
     spark = actual.sparkSession
     for name, df in (("golden", golden), ("actual", actual)):
         absent = [k for k in key if k not in df.columns]
         if absent:
             # an empty result fails for being empty first
-            reason = F.when(F.lit(actual.isEmpty()), "actual returned no rows").otherwise(
-                f"{name} result is missing key columns {','.join(absent)}"
+            reason = F.when(F.lit(actual.isEmpty()), NO_ROWS).otherwise(
+                f"the {name} side lacks the key columns {', '.join(absent)}"
             )
             return spark.range(1).select(
-                F.lit(False).alias("passed"), reason.alias("reason"), F.lit(0).cast("bigint").alias("repeated_golden")
+                F.lit(False).alias("passed"), reason.alias("reason"), F.lit(0).cast("bigint").alias("repeated_golden"),
+                F.lit(None).cast("bigint").alias("missing"),
             )
     diff = key_differences(golden, actual, key, check_values, rel_tol)
     label = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in key])
@@ -136,7 +138,6 @@ def compare_results(
         F.coalesce(F.sum("actual_rows"), F.lit(0)).alias("actual_rows"),
         F.count_if(F.col("actual_rows") > 1).alias("repeated_actual"),
         F.count_if(F.col("golden_rows") > 1).alias("repeated_golden"),
-        F.count_if(F.col("golden_rows") > 0).alias("golden_keys"),
         F.count_if(unknown).alias("unknown"),
         F.count_if(missing).alias("missing"),
         F.count_if(wrong).alias("wrong"),
@@ -145,35 +146,32 @@ def compare_results(
         F.min(F.when(wrong, F.struct(label.alias("key"), F.col("mismatch").alias("column")))).alias("wrong_at"),
     )
     reason = (
-        F.when(F.col("actual_rows") == 0, "actual returned no rows")
-        .when(F.col("repeated_actual") > 0, "actual returned duplicate keys (wrong grain)")
+        F.when(F.col("actual_rows") == 0, NO_ROWS)
+        .when(F.col("repeated_actual") > 0, REPEATED)
         .when(
             F.col("unknown") > 0,
-            F.concat(F.lit("actual returned keys not in golden: "), F.col("unknown").cast("string"),
-                     F.lit(", first "), F.col("unknown_key")),
+            F.concat(F.col("unknown").cast("string"), F.lit(" keys are unknown to golden, the smallest is "), F.col("unknown_key")),
         )
         .when(
-            (F.col("missing") > 0) & (F.col("golden_keys") <= missing_limit),
-            F.concat(F.lit("actual is missing keys: "), F.col("missing").cast("string"),
-                     F.lit(", first "), F.col("missing_key")),
+            (F.col("missing") > 0) & ~F.lit(allow_missing),
+            F.concat(F.col("missing").cast("string"), F.lit(" golden keys were not found, the smallest is "), F.col("missing_key")),
         )
         .when(
             F.col("wrong") > 0,
-            F.concat(F.lit("value mismatch for "), F.col("wrong_at.key"),
-                     F.lit(": golden "), F.col("wrong_at.column")),
+            F.concat(F.lit("no number near golden "), F.col("wrong_at.column"), F.lit(" at key "), F.col("wrong_at.key")),
         )
         .otherwise("ok")
     )
-    return totals.select((reason == "ok").alias("passed"), reason.alias("reason"), "repeated_golden")
+    return totals.select((reason == "ok").alias("passed"), reason.alias("reason"), "repeated_golden", "missing")
 
 
 def scorecard(cases: Sequence[Case]) -> DataFrame:
     """One verdict row per case."""
     rows = None
     for case in cases:
-        verdict = compare_results(case.golden, case.actual, case.key, case.check_values, case.rel_tol).select(
-            F.lit(case.case_id).alias("case_id"), "passed", "reason", "repeated_golden"
-        )
+        verdict = compare_results(
+            case.golden, case.actual, case.key, case.check_values, case.rel_tol, case.allow_missing
+        ).select(F.lit(case.case_id).alias("case_id"), "passed", "reason", "repeated_golden", "missing")
         rows = verdict if rows is None else rows.unionByName(verdict)
     if rows is None:
         raise ValueError("no cases to compare")

@@ -1,4 +1,4 @@
-"""Questions over a feature table, as queries with a total order and a row cap."""
+"""Questions over a feature table, as queries with a total order; ``k`` keeps the first rows only."""
 
 from __future__ import annotations
 
@@ -12,7 +12,6 @@ from ..functions.derive import within_days
 from ..operators.lags import latest_rows
 from ..operators.topk import top_k
 
-TOP = 50
 DEFAULT_DAYS = 30
 
 
@@ -23,7 +22,7 @@ def recent(df: DataFrame, time: str, days: int = DEFAULT_DAYS, as_of: Column | N
 
 def average_by(
     df: DataFrame, group: Sequence[str], measure: str, time: str, days: int = DEFAULT_DAYS,
-    as_of: Column | None = None, k: int = TOP, name: str = "average_rate",
+    as_of: Column | None = None, k: int | None = None, name: str = "average_rate",
 ) -> DataFrame:
     """Average of a measure per group over the window, largest first."""
     means = recent(df, time, days, as_of).groupBy(*group).agg(F.avg(measure).alias(name))
@@ -31,16 +30,18 @@ def average_by(
 
 
 def latest_values(
-    df: DataFrame, entity: Sequence[str], time: str, measures: Sequence[str], tiebreak: Sequence[str] = ()
+    df: DataFrame, entity: Sequence[str], time: str, measures: Sequence[str], tiebreak: Sequence[str] = (),
+    k: int | None = None, newest_first: bool = False,
 ) -> DataFrame:
-    """Newest row per series, over all of the table."""
+    """Newest row per series, over all of the table; newest series first if asked for or with ``k``."""
     newest = latest_rows(df.select(*entity, time, *measures, *tiebreak), entity, time, 1, tiebreak)
-    return newest.select(*entity, *measures, time)
+    rows = newest.select(*entity, *measures, time)
+    return top_k(rows, time, entity, k) if newest_first or k is not None else rows
 
 
 def largest_moves(
     df: DataFrame, group: Sequence[str], change: str, time: str, days: int = DEFAULT_DAYS,
-    as_of: Column | None = None, k: int = TOP, name: str = "largest_move",
+    as_of: Column | None = None, k: int | None = None, name: str = "largest_move",
 ) -> DataFrame:
     """Largest absolute change per group over the window, largest first."""
     moves = recent(df, time, days, as_of).groupBy(*group).agg(F.max(F.abs(change)).alias(name))
@@ -49,7 +50,7 @@ def largest_moves(
 
 def large_move_counts(
     df: DataFrame, entity: Sequence[str], time: str, days: int = DEFAULT_DAYS, as_of: Column | None = None,
-    k: int = TOP,
+    k: int | None = None,
 ) -> DataFrame:
     """Large moves per series over the window and when the last one was, most first."""
     moves = recent(df, time, days, as_of).where(F.col("is_large_move")).groupBy(*entity).agg(

@@ -87,13 +87,13 @@ def sides(spark, actual, golden=GOLDEN):
     [
         ([("a", 1.0005), ("b", 2.0), ("c", 1e-13)], True, True, "ok"),
         ([("a", 9.0), ("b", 2.0), ("c", 0.0)], False, True, "ok"),
-        ([("a", 1.002), ("b", 2.0), ("c", 0.0)], True, False, "value mismatch for a: golden x"),
-        ([("a", float("nan")), ("b", 2.0), ("c", 0.0)], True, False, "value mismatch for a: golden x"),
-        ([("a", None), ("b", 2.0), ("c", 0.0)], True, False, "value mismatch for a: golden x"),
-        ([], True, False, "actual returned no rows"),
-        ([("a", 1.0), ("a", 1.0)], True, False, "actual returned duplicate keys (wrong grain)"),
-        ([("a", 1.0), ("z", 1.0), ("y", 1.0)], True, False, "actual returned keys not in golden: 2, first y"),
-        ([("a", 1.0)], True, False, "actual is missing keys: 2, first b"),
+        ([("a", 1.002), ("b", 2.0), ("c", 0.0)], True, False, "no number near golden x at key a"),
+        ([("a", float("nan")), ("b", 2.0), ("c", 0.0)], True, False, "no number near golden x at key a"),
+        ([("a", None), ("b", 2.0), ("c", 0.0)], True, False, "no number near golden x at key a"),
+        ([], True, False, "the actual side is empty"),
+        ([("a", 1.0), ("a", 1.0)], True, False, "the actual side has several rows for one key"),
+        ([("a", 1.0), ("z", 1.0), ("y", 1.0)], True, False, "2 keys are unknown to golden, the smallest is y"),
+        ([("a", 1.0)], True, False, "2 golden keys were not found, the smallest is b"),
     ],
 )
 def test_verdicts(spark, actual, values, passed, reason):
@@ -109,20 +109,23 @@ def test_null_keys_match_and_golden_nan_is_ignored(spark):
 
 def test_golden_copies_are_reported(spark):
     golden, got = sides(spark, [("a", 1.0)], [("a", 1.0), ("a", 1.0)])
-    assert tuple(compare_results(golden, got, ["k"], check_values=True).first()) == (True, "ok", 1)
+    assert tuple(compare_results(golden, got, ["k"], check_values=True).first()) == (True, "ok", 1, 0)
 
 
-def test_missing_keys_beyond_the_cap(spark):
-    golden = spark.range(51).select(F.col("id").alias("k"))
-    assert compare_results(golden, golden.where("k < 50"), ["k"]).first().passed
-    assert not compare_results(golden.where("k < 50"), golden.where("k < 49"), ["k"]).first().passed
+@pytest.mark.parametrize("n", [2, 51, 20_000])
+def test_missing_keys_fail_at_any_size(spark, n):
+    golden = spark.range(n).select(F.col("id").alias("k"))
+    lost = compare_results(golden, golden.where(F.col("k") < n - 1), ["k"]).first()
+    assert (lost.passed, lost.missing) == (False, 1)
+    allowed = compare_results(golden, golden.where(F.col("k") < n - 1), ["k"], allow_missing=True).first()
+    assert (allowed.passed, allowed.missing) == (True, 1)
 
 
 def test_missing_key_column(spark):
     golden, got = sides(spark, [("a", 1.0)])
     renamed = got.withColumnRenamed("k", "key")
-    assert compare_results(golden, renamed, ["k"]).first().reason == "actual result is missing key columns k"
-    assert compare_results(golden, renamed.limit(0), ["k"]).first().reason == "actual returned no rows"
+    assert compare_results(golden, renamed, ["k"]).first().reason == "the actual side lacks the key columns k"
+    assert compare_results(golden, renamed.limit(0), ["k"]).first().reason == "the actual side is empty"
 
 
 def test_hot_key_does_not_multiply(spark):
@@ -175,6 +178,8 @@ def test_top_k(spark):
     assert [r.k for r in top_k(df, "v", ["k"], 3).collect()] == ["b", "c", "a"]
     assert [r.k for r in top_k(df, "v", ["k"], 1_000_000, cap=2).collect()] == ["b", "c"]
     assert [r.k for r in top_k(df, "v", ["k"], cap=4, largest_first=False).collect()] == ["a", "b", "c", "d"]
+    assert [r.k for r in top_k(df, "v", ["k"]).collect()] == ["b", "c", "a", "d"]
+    assert top_k(spark.range(12_000), "id", ["id"]).count() == 12_000
     for bad in (lambda: top_k(df, "v", ["k"], 0), lambda: cap_rows(df, 0)):
         with pytest.raises(ValueError):
             bad()
