@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
+import zlib
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -29,6 +32,14 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _COMMON = re.compile("[^\x00-ȳΑ-ΡЀ-џ‐-‧‰-›€←-⇿]")
 
 
+def kept_by_worker(name: str, make: Callable):
+    """``make()``, or what it gave before in this Python process; for what is dear to set up."""
+    holder = sys.modules.setdefault("_pollpipe_worker", types.ModuleType("_pollpipe_worker"))
+    if name not in vars(holder):
+        setattr(holder, name, make())
+    return getattr(holder, name)
+
+
 def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     """Text to ids for a byte-level BPE file (JSON) of the tokenizers library.
 
@@ -36,24 +47,33 @@ def encoder(vocabulary: str) -> Callable[[str], np.ndarray]:
     go through tiktoken with the same vocabulary, which is several times faster; a text that
     holds another character or an added token of the file goes through the library itself.
     """
+    name = f"bpe_{zlib.crc32(vocabulary.encode()):08x}"
+    fast, added = kept_by_worker(name, lambda: _fast_encoder(vocabulary))
+
+    def exact(text: str) -> list[int]:
+        import tokenizers
+
+        whole = kept_by_worker(name + "_exact", lambda: tokenizers.Tokenizer.from_str(vocabulary))
+        return whole.encode(text, add_special_tokens=False).ids
+
+    def encode(text: str) -> np.ndarray:
+        if (text.isascii() or not _COMMON.search(text)) and not any(a in text for a in added):
+            return fast.encode_to_numpy(text, disallowed_special=())
+        return np.array(exact(text), np.uint32)
+
+    return encode
+
+
+def _fast_encoder(vocabulary: str):
     import tiktoken
-    import tokenizers
 
-    exact = tokenizers.Tokenizer.from_str(vocabulary)
     parts = json.loads(vocabulary)
     added = [t["content"] for t in parts["added_tokens"]]
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(plain)]
     of_char = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
     ranks = {bytes(of_char[c] for c in token): i for token, i in parts["model"]["vocab"].items() if token not in added}
-    fast = tiktoken.Encoding("byte-level", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(text: str) -> np.ndarray:
-        if (text.isascii() or not _COMMON.search(text)) and not any(a in text for a in added):
-            return fast.encode_to_numpy(text, disallowed_special=())
-        return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    return encode
+    return tiktoken.Encoding("byte-level", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}), added
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
