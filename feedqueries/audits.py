@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from pollpipe.functions import minutes_between
 from pollpipe.operators import (
-    Case, approx_key_metrics, check_contract, compare_results, key_differences, key_metrics, latest_poll, lost_keys,
+    Case, approx_key_metrics, check_contract, compare_results, key_differences, key_metrics, latest_poll, layer_lag,
+    lost_keys,
     repeated_keys, row_counts, rows_at_latest, score_summary, scorecard, side_by_side,
 )
 from pollpipe.plans.gates import gold_metrics
@@ -89,10 +90,10 @@ def rows_of_latest_poll(spark, sf_dir):
 """)
 def layer_lag_minutes(spark, sf_dir):
     """How far one table is behind another."""
-    up = table(spark, sf_dir, "orders").agg(F.max("o_orderdate").alias("orders_latest"))
-    down = table(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").alias("shipments_latest"))
-    lag = minutes_between(F.col("orders_latest"), F.col("shipments_latest"))
-    return side_by_side(up, down).withColumn("lag_minutes", lag)
+    up = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("at"))
+    down = table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("at"))
+    lag = layer_lag(up, down, "at", ("orders", "shipments"))
+    return lag.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("orders_latest", "shipments_latest")})
 
 
 @query(f"""

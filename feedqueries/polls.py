@@ -17,7 +17,7 @@ from pollpipe.plans import SilverPlan, gates, load_bronze, load_gold, load_silve
 from pollpipe.presets import perpetuals as preset
 from pollpipe.sources import FeedTable, classify_polls, read_polls
 
-from .registry import arriving, fresh_dir, landed, query
+from .registry import ROWS_PER_FILE, fresh_dir, landed, query, table
 
 PLAN = SilverPlan(preset.FEED, preset.derived_columns, preset.quality_rules)
 GOLD_COLUMNS = preset.GOLD_CONTRACT.names
@@ -36,7 +36,7 @@ def listed(tags) -> Column:
 
 def props_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One poll per event around its ``props``, which gains a field for some events."""
-    events = arriving(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     drifted = F.when(F.col("event_id") % 3 == 0, F.replace("props", F.lit("}"), F.lit(', "x": 1}'))).otherwise(
         F.col("props")
     )
@@ -88,7 +88,7 @@ def drift_counters(spark, sf_dir):
 """)
 def poll_explode(spark, sf_dir):
     """Polls of two records each become one row per record, with their poll's columns."""
-    events = arriving(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     first = F.to_json(F.struct("event_id", F.col("event_type").alias("kind"), "value", F.get_json_object(
         "props", "$.k").cast("bigint").alias("k")))
     second = F.to_json(
@@ -109,7 +109,7 @@ def poll_explode(spark, sf_dir):
 
 def broken_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One poll per event; the events' kinds decide what is wrong with it."""
-    events = arriving(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     whole = F.concat(F.lit('{"data": ['), "props", F.lit("]}"))
     polls = events.select(
@@ -190,7 +190,7 @@ def poll_outcomes(spark, sf_dir):
 
 def feed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poll envelopes of the preset's feed, one per event."""
-    events = arriving(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     k, ts = F.col("k"), F.col("ts").cast("timestamp")
     seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (10 - k).cast("decimal(18,6)"))
     minutes = F.make_dt_interval(F.lit(0), F.lit(0), (k - 20).cast("int"))
@@ -236,7 +236,7 @@ def feed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed after a round trip through landed JSON files."""
     path = fresh_dir(spark, "polls")
-    feed_polls(spark, sf_dir).write.json(path)
+    feed_polls(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_FILE).json(path)
     return read_polls(spark, path)
 
 
@@ -346,16 +346,19 @@ def issue_table(spark, sf_dir):
     return plain(issue_rows(silver, preset.FEED.key, issues))
 
 
+def layer_tables(spark: SparkSession) -> list[FeedTable]:
+    """New bronze, silver and gold tables, and one for silver rows without a key."""
+    return [FeedTable(spark, fresh_dir(spark, name), "fetched_at") for name in ("bronze", "silver", "gold", "unkeyed")]
+
+
 def load_layers(spark: SparkSession, sf_dir: str) -> tuple[FeedTable, FeedTable, FeedTable]:
     """All three layer tables, loaded from landed files in two incremental rounds."""
-    bronze, silver, gold = (
-        FeedTable(spark, fresh_dir(spark, name), "fetched_at") for name in ("bronze", "silver", "gold")
-    )
+    bronze, silver, gold, unkeyed = layer_tables(spark)
     polls = landed_polls(spark, sf_dir)
     cut = "2024-01-16"
     for part in (polls.where(F.col("fetched_at") < cut), polls.where(F.col("fetched_at") >= cut)):
         load_bronze(part, preset.FEED, bronze)
-        load_silver(bronze, silver, PLAN)
+        load_silver(bronze, silver, PLAN, unkeyed)
         # a lookback as long as the data: same result as one full computation
         load_gold(silver, gold, preset.FEATURES, GOLD_COLUMNS, dt.timedelta(days=60))
     return bronze, silver, gold
@@ -371,7 +374,7 @@ _AS_OF = dt.datetime(2024, 1, 31)
 
 
 @query(f"""
-    SELECT count(*) AS rows, count(DISTINCT (exchange, symbol, fetched_at)) AS unique_keys,
+    SELECT count(*) AS rows, count(DISTINCT (exchange, symbol, fetched_at)) AS unique_keys, 0 AS unkeyed_rows,
            count(*) FILTER (WHERE extra <> '') AS extra_field_rows,
            count(*) FILTER (WHERE missing <> '') AS missing_field_rows,
            max(fetched_at) AS latest_fetched_at,
@@ -383,10 +386,7 @@ _AS_OF = dt.datetime(2024, 1, 31)
 def bronze_gate_metrics(spark, sf_dir):
     """Bronze gate: keys, drift, newest poll and its age."""
     bronze = landed(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), "bronze")
-    domain = accepted(bronze).where(F.col("base_coin") == "BTC").withColumn(
-        "fetched_at", F.col("fetched_at").cast("timestamp")
-    )
-    return plain(gates.bronze_metrics(domain, preset.FEED.key, "fetched_at", F.lit(_AS_OF)))
+    return plain(gates.bronze_metrics(bronze, preset.FEED.key, "fetched_at", F.lit(_AS_OF), preset.FEED.domain))
 
 
 @query(f"""

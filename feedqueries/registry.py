@@ -11,6 +11,9 @@ from pollpipe.session import prepare, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rows of a landed file; a feed arrives in many files, whatever the layout of its table.
+ROWS_PER_FILE = 10_000
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,11 +50,7 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 def landed(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to and read from the shared scratch space, as if it had arrived there."""
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table spread over several tasks, as a feed arrives in several files, whatever the
-    file layout of the table."""
-    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)

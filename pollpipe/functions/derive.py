@@ -19,8 +19,13 @@ def rate_per_year(rate: Column, interval_hours: Column) -> Column:
     return F.when(interval_hours > 0, rate * (F.lit(HOURS_PER_YEAR) / interval_hours))
 
 
+def as_time(value: Column) -> Column:
+    """An instant from a time or its text; NULL where the text is no time, never an error."""
+    return value.try_cast("timestamp")
+
+
 def micros(time: Column) -> Column:
-    return F.unix_micros(time.cast("timestamp"))
+    return F.unix_micros(as_time(time))
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

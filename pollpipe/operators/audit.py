@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.derive import minutes_between
+from ..functions.derive import as_time, minutes_between
 
 
 class GateError(ValueError):
@@ -61,11 +61,11 @@ def _any_null(key: Sequence[str]) -> Column:
 
 
 def latest_poll(df: DataFrame, time: str) -> DataFrame:
-    """One row: newest time and its row count, in a single pass over one column."""
-    polls = df.where(F.col(time).isNotNull()).groupBy(time).agg(F.count(F.lit(1)).alias("n"))
-    return polls.agg(
-        F.max(time).alias("latest_fetched_at"),
-        F.coalesce(F.max_by("n", time), F.lit(0)).cast("bigint").alias("latest_poll_contract_count"),
+    """One row: newest time and its row count. Two aggregates over one column, without a shuffle
+    of its values; the newest time is a scalar subquery of the second."""
+    newest = df.agg(F.max(time)).scalar()
+    return df.agg(
+        F.max(time).alias("latest_fetched_at"), F.count_if(F.col(time) == newest).alias("latest_poll_contract_count")
     )
 
 
@@ -75,19 +75,24 @@ def rows_at_latest(df: DataFrame, time: str) -> DataFrame:
 
 
 def layer_lag(upstream: DataFrame, downstream: DataFrame, time: str, names: tuple[str, str]) -> DataFrame:
-    """One row: newest time on both sides and how far downstream lags, in minutes."""
-    up = upstream.agg(F.max(time).alias(f"{names[0]}_latest"))
-    down = downstream.agg(F.max(time).alias(f"{names[1]}_latest"))
+    """One row: newest time on both sides and how far downstream lags, in minutes.
+
+    Newest as an instant: text that is no time does not count, and offsets are respected.
+    """
+    up = upstream.agg(F.max(as_time(F.col(time))).alias(f"{names[0]}_latest"))
+    down = downstream.agg(F.max(as_time(F.col(time))).alias(f"{names[1]}_latest"))
     lag = minutes_between(F.col(f"{names[0]}_latest"), F.col(f"{names[1]}_latest"))
     return side_by_side(up, down).withColumn("lag_minutes", lag)
 
 
 def side_by_side(*one_row: DataFrame) -> DataFrame:
-    """Columns of several one-row frames as one row."""
-    result, *rest = one_row
-    for frame in rest:
-        result = result.crossJoin(F.broadcast(frame))
-    return result
+    """Columns of several one-row frames as one row; each is a scalar subquery, so a frame of more
+    rows is an error and not a product."""
+    spark = one_row[0].sparkSession
+    columns = [
+        frame.select(F.struct(*frame.columns)).scalar().getField(name).alias(name) for frame in one_row for name in frame.columns
+    ]
+    return spark.range(1).select(*columns)
 
 
 def derived_metrics(eligible: Column, derived: Sequence[str]) -> list[Column]:

@@ -55,16 +55,18 @@ def time_slice(time: str, width_micros: int) -> Column:
 
 
 def choose_cut(
-    df: DataFrame, entity: Sequence[str], time: str, depth: int = 1, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, entity: Sequence[str], time: str, depth: int = 1, rows_per_task: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> Cut | None:
     """How to cut ``df`` so that no task gets many more than ``rows_per_task`` rows of a series.
 
     ``None`` if no series is longer than that. The row count settles small inputs. For
     others, series are counted on a sample in which a series of ``rows_per_task`` rows has
-    about ``SAMPLED`` rows. The choice steers the balance only, never the result. The
-    driver sees maxima and the heavy series, at most ``rows / rows_per_task`` of them.
+    about ``SAMPLED`` rows. The choice steers the balance only, never the result. Bounds are
+    checked over all heavy series; the driver sees maxima, and the heavy series themselves if
+    they are at most ``MAX_HEAVY``. ``rows`` is the row count, if known.
     """
-    if df.count() <= rows_per_task:
+    if (df.count() if rows is None else rows) <= rows_per_task:
         return None
     fraction = min(1.0, SAMPLED / rows_per_task)
     limit = rows_per_task * fraction
@@ -73,22 +75,26 @@ def choose_cut(
     seen = df.select(*entity, time)
     if fraction < 1:
         seen = seen.sample(fraction, seed=1)
-    rows, instant = F.count(F.lit(1)), micros(F.col(time))
-    found = seen.groupBy(*entity).agg(rows.alias("n"), (F.max(instant) - F.min(instant)).alias("span"))
-    heavy = found.where(F.col("n") > limit - noise).limit(MAX_HEAVY + 1).collect()
-    if not heavy:
+    counted, instant = F.count(F.lit(1)), micros(F.col(time))
+    found = seen.groupBy(*entity).agg(counted.alias("n"), (F.max(instant) - F.min(instant)).alias("span"))
+    heavy = checkpoint(found.where(F.col("n") > limit - noise))
+    slices = {w: F.floor(F.coalesce("span", F.lit(0)) / w) + 1 for w in WIDTHS}
+    # all edges of a series meet in one task of the second step
+    facts = heavy.agg(
+        F.count(F.lit(1)).alias("series"),
+        *[F.max(F.col("n") / s).alias(f"mean_{w}") for w, s in slices.items()],
+        *[F.max(F.least(F.col("n") / fraction, 2 * depth * s)).alias(f"edges_{w}") for w, s in slices.items()],
+    ).first()
+    if not facts["series"]:
         return None
-    listed = tuple(tuple(r[: len(entity)]) for r in heavy) if len(heavy) <= MAX_HEAVY else None
-    if listed is not None:
+    listed = None
+    if facts["series"] <= MAX_HEAVY:
+        listed = tuple(tuple(r) for r in heavy.select(*entity).collect())
         seen = seen.join(*_matching(df, entity, listed), "left_semi")
     for width in WIDTHS:
-        slices = [(r["span"] or 0) // width + 1 for r in heavy]
-        mean = max(r["n"] / n for r, n in zip(heavy, slices))
-        # all edges of a series meet in one task of the second step
-        edges = max(min(r["n"] / fraction, 2 * depth * n) for r, n in zip(heavy, slices))
-        if mean > limit or edges > rows_per_task:
+        if facts[f"mean_{width}"] > limit or facts[f"edges_{width}"] > rows_per_task:
             continue
-        sizes = seen.groupBy(*entity, time_slice(time, width).alias(_SLICE)).agg(rows.alias("n"))
+        sizes = seen.groupBy(*entity, time_slice(time, width).alias(_SLICE)).agg(counted.alias("n"))
         if sizes.agg(F.max("n")).first()[0] <= limit + noise:
             return Cut(width, listed)
     return Cut(RANGE, listed)
@@ -206,3 +212,9 @@ def latest_rows(
     order = [F.col(c).desc() for c in (time, *tiebreak)]
     ranked = df.withColumn(_ROW, F.row_number().over(Window.partitionBy(*entity).orderBy(*order)))
     return ranked.where(F.col(_ROW) <= n).drop(_ROW)
+
+
+def latest_times(df: DataFrame, entity: Sequence[str], time: str, n: int) -> DataFrame:
+    """All rows at the ``n`` newest times of every series; filtered before the shuffle as well."""
+    newest = F.dense_rank().over(Window.partitionBy(*entity).orderBy(F.col(time).desc()))
+    return df.withColumn(_ROW, newest).where(F.col(_ROW) <= n).drop(_ROW)

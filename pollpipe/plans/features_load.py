@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.derive import micros
 from ..operators.features import ChangeSpec, add_features, change_features
-from ..operators.lags import Cut, choose_cut, latest_rows, with_previous
-from ..operators.merge import new_rows, upsert_into
+from ..operators.lags import Cut, choose_cut, latest_times, with_previous
+from ..operators.merge import key_facts, new_rows, one_per_key, upsert_into
 from ..session import checkpoint
 from ..sources.tables import FeedTable, from_micros, to_micros
 
@@ -28,16 +29,19 @@ def features_of_new_rows(
     new: DataFrame,
     spec: ChangeSpec,
     slicing: Cut | int | str | None = "auto",
+    rows: int | None = None,
 ) -> DataFrame:
-    """Features of the rows of ``new``, given the rows of ``history`` before them.
+    """Features of the rows of ``new`` (``rows`` of them, if known), given the rows of ``history``
+    before them.
 
-    Only the newest ``lookback`` rows per series of ``history`` take part. ``history``
-    must hold no row at or after the earliest of ``new``.
+    Only the newest ``lookback`` times per series of ``history`` take part, one row each.
+    ``history`` must hold no row at or after the earliest of ``new``.
     """
-    context = latest_rows(history, spec.entity, spec.time, spec.lookback, spec.tiebreak)
+    context = latest_times(history, spec.entity, spec.time, spec.lookback)
+    context = one_per_key(context, (*spec.entity, spec.time), spec.tiebreak)
     if slicing == "auto":
         # the context adds only a few rows per series
-        slicing = choose_cut(new, spec.entity, spec.time, spec.lookback)
+        slicing = choose_cut(new, spec.entity, spec.time, spec.lookback, rows=rows)
     both = context.withColumn(_NEW, F.lit(False)).unionByName(new.withColumn(_NEW, F.lit(True)))
     featured = change_features(both, spec, slicing)
     return featured.where(F.col(_NEW)).drop(_NEW)
@@ -56,19 +60,23 @@ def build_features(
 
     The lookback bounds how far before the earliest new row predecessors are searched;
     ``None`` searches all of the source. Results equal a full recomputation if every
-    series has its predecessors inside the bound; otherwise they are NULL. Returns
-    whether there was anything new.
+    series has its predecessors inside the bound; otherwise they are NULL. Copies of a key are
+    reduced to one, by the tie-break and then all columns. One aggregate over the keys of the
+    new rows gives all that is to be known of them. Returns whether there was anything new.
     """
     watermark = target.max_time()
+    key = (*spec.entity, spec.time)
     new = _of_domain(source.read(after=watermark), domain)
-    first = earliest(new, spec.time)
-    if first is None:
+    facts = key_facts(target, new, key)
+    if facts.first is None:
         return False
-    since = None if lookback is None else first - lookback
-    history = _of_domain(source.read(since=since, before=first), domain)
-    featured = features_of_new_rows(history, new, spec, slicing).select(*columns)
-    key = (*spec.entity, spec.time)
-    upsert_into(target, featured, key, keys=new.select(*key))
+    if facts.copies:
+        new = checkpoint(one_per_key(new, key, spec.tiebreak))
+        facts = replace(facts, rows=facts.rows - facts.copies, copies=0)
+    since = None if lookback is None else facts.first - lookback
+    history = _of_domain(source.read(since=since, before=facts.first), domain)
+    featured = features_of_new_rows(history, new, spec, slicing, facts.rows).select(*columns)
+    upsert_into(target, featured, key, facts=facts)
     return True
 
 
@@ -124,7 +132,7 @@ def repair_late_rows(
         return False
     since = None if lookback is None else first - lookback
     until = watermark if lookback is None else min(watermark, last + lookback)
-    around = _of_domain(source.read(since=since, until=until), domain)
+    around = one_per_key(_of_domain(source.read(since=since, until=until), domain), key, spec.tiebreak)
     fixed = checkpoint(affected_by_late_rows(around, late, spec, slicing).select(*columns))
     upsert_into(target, fixed, key)
     return True

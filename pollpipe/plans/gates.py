@@ -6,12 +6,13 @@ the keys, so it is kept apart: combined, every key would drag all other counts a
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.derive import minutes_between
+from ..functions.derive import as_time, minutes_between
 from ..functions.quality import has_issues
 from ..operators.audit import (
     GateResult,
@@ -24,7 +25,9 @@ from ..operators.audit import (
     side_by_side,
 )
 from ..operators.clean import CAST_ISSUES, QUALITY_ISSUES
-from ..operators.explode import drift_counts
+from ..operators.explode import accepted, drift_counts
+from ..operators.merge import has_null_key
+from ..sources.tables import to_micros
 
 
 def _unique(values) -> str | None:
@@ -44,12 +47,38 @@ def _lag(upstream: str, downstream: str, limit: float):
     return check
 
 
-def bronze_metrics(bronze: DataFrame, key: Sequence[str], time: str, as_of: Column | None = None) -> DataFrame:
-    """One row: rows, unique keys, drift counts, newest poll, its size and its age."""
-    keys = bronze.agg(*key_metrics(key))
+def gate_rows(
+    bronze: DataFrame, time: str, domain: tuple[str, str] | None = None, since: dt.datetime | None = None
+) -> DataFrame:
+    """The bronze rows that a gate judges: accepted ones of the domain, their time as an instant
+    (NULL where it is unreadable), not before ``since``."""
+    rows = accepted(bronze) if "reject_reason" in bronze.columns else bronze
+    if domain is not None:
+        rows = rows.where(F.col(domain[0]) == F.lit(domain[1]))
+    rows = rows.withColumn(time, as_time(F.col(time)))
+    return rows if since is None else rows.where(F.col(time) >= F.timestamp_micros(F.lit(to_micros(since))))
+
+
+def bronze_metrics(
+    bronze: DataFrame,
+    key: Sequence[str],
+    time: str,
+    as_of: Column | None = None,
+    domain: tuple[str, str] | None = None,
+    since: dt.datetime | None = None,
+) -> DataFrame:
+    """One row: rows, unique keys, rows without a key, drift counts, newest poll, its size and age.
+
+    Takes the table as it was loaded. Rejected polls and records have no key and are no poll
+    results, so they are not looked at; rows whose key is incomplete are counted apart.
+    """
+    rows = gate_rows(bronze, time, domain, since)
+    unkeyed = has_null_key(key)
+    keys = rows.where(~unkeyed).agg(*key_metrics(key))
+    without = rows.agg(F.count_if(unkeyed).alias("unkeyed_rows"))
     now = F.current_timestamp() if as_of is None else as_of
     age = minutes_between(now, F.col("latest_fetched_at"))
-    return side_by_side(keys, drift_counts(bronze), latest_poll(bronze, time)).withColumn("age_minutes", age)
+    return side_by_side(keys, without, drift_counts(rows), latest_poll(rows, time)).withColumn("age_minutes", age)
 
 
 def bronze_gate(
@@ -60,8 +89,12 @@ def bronze_gate(
     max_age_minutes: float,
     as_of: Column | None = None,
     strict: bool = False,
+    domain: tuple[str, str] | None = None,
+    since: dt.datetime | None = None,
 ) -> GateResult:
-    """Unique keys, a recent and complete newest poll. Drift is reported, never a breach."""
+    """Unique keys, a recent and complete newest poll. Drift and rows without a key are reported,
+    never a breach; a feed of which only rejected polls arrive grows stale. ``since`` keeps
+    the gate from reading all history."""
 
     def fresh(values) -> str | None:
         if values["latest_fetched_at"] is None:
@@ -76,7 +109,7 @@ def bronze_gate(
             return f"newest poll has {n} rows (expected at least {min_rows_per_poll})"
         return None
 
-    return run_gate(bronze_metrics(bronze, key, time, as_of), [_unique, fresh, complete], strict)
+    return run_gate(bronze_metrics(bronze, key, time, as_of, domain, since), [_unique, fresh, complete], strict)
 
 
 def silver_metrics(silver: DataFrame, key: Sequence[str], eligible: Column, derived: Sequence[str]) -> DataFrame:
@@ -98,8 +131,12 @@ def silver_gate(
     derived: Sequence[str],
     max_lag_minutes: float,
     strict: bool = False,
+    domain: tuple[str, str] | None = None,
+    since: dt.datetime | None = None,
 ) -> GateResult:
     """Unique keys, silver close behind bronze, derived columns filled where computable."""
+    bronze = gate_rows(bronze, time, domain, since)
+    silver = silver if since is None else gate_rows(silver, time, None, since)
 
     def filled(values) -> str | None:
         gaps = {c: values[f"null_{c}"] for c in derived if values[f"null_{c}"]}
@@ -121,9 +158,12 @@ def gold_metrics(gold: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def gold_gate(
-    silver: DataFrame, gold: DataFrame, key: Sequence[str], time: str, max_lag_minutes: float, strict: bool = False
+    silver: DataFrame, gold: DataFrame, key: Sequence[str], time: str, max_lag_minutes: float, strict: bool = False,
+    since: dt.datetime | None = None,
 ) -> GateResult:
     """Unique keys, gold close behind silver. Flags are reported, never a breach."""
+    if since is not None:
+        silver, gold = (gate_rows(layer, time, None, since) for layer in (silver, gold))
     metrics = side_by_side(gold_metrics(gold, key), layer_lag(silver, gold, time, ("silver", "gold")))
     return run_gate(metrics, [_unique, _lag("silver", "gold", max_lag_minutes)], strict)
 

@@ -13,7 +13,7 @@ from ..functions.quality import Rule
 from ..operators.clean import clean_records
 from ..operators.explode import accepted, explode_polls
 from ..operators.features import ChangeSpec
-from ..operators.merge import insert_into, one_per_key, split_null_keys
+from ..operators.merge import Inserted, insert_all
 from ..sources.tables import FeedTable
 from ..spec import FeedSpec
 from .features_load import build_features
@@ -52,26 +52,22 @@ def load_silver(
     bronze: FeedTable,
     silver: FeedTable,
     plan: SilverPlan,
-    unkeyed: FeedTable | None = None,
-    keep_copies: bool = False,
-) -> bool:
-    """Insert the bronze rows newer than silver. Returns whether there were any.
-
-    A rerun inserts nothing twice. Rows without a complete key go to ``unkeyed`` if
-    given: they never match, so silver would take them again on every run. Copies of a key
-    within one load are reduced to one unless ``keep_copies`` is set.
+    unkeyed: FeedTable,
+    reread: dt.timedelta = dt.timedelta(0),
+    keep_copies: bool = True,
+) -> Inserted:
+    """Insert the bronze rows that silver does not have. Returns what was added.
+
+    Bronze is read again from the start of the newest silver day, or ``reread`` before it, so
+    rows that arrive late within that time, or share the newest instant, are taken; known keys
+    are skipped, and a rerun inserts nothing twice. Rows without a complete key, which includes
+    those whose time is unreadable, go to ``unkeyed``. Copies of a key within one load all go
+    to silver, where the key gate sees them, unless ``keep_copies`` is unset.
     """
-    watermark = silver.max_time()
-    rows = silver_rows(bronze.read(after=watermark), plan)
-    if rows.isEmpty():
-        return False
-    keyed, without = split_null_keys(rows, plan.feed.key)
-    if unkeyed is not None and not without.isEmpty():
-        unkeyed.append(without)
-    if not keep_copies:
-        keyed = one_per_key(keyed, plan.feed.key)
-    insert_into(silver, keyed, plan.feed.key)
-    return True
+    newest = silver.max_time()
+    since = None if newest is None else dt.datetime.combine(newest.date(), dt.time()) - reread
+    rows = silver_rows(bronze.read(since=since, untimed=True), plan)
+    return insert_all(silver, unkeyed, rows, plan.feed.key, since, keep_copies)
 
 
 def load_gold(
@@ -82,5 +78,8 @@ def load_gold(
     lookback: dt.timedelta | None,
     domain: tuple[str, str] | None = None,
 ) -> bool:
-    """Features of the silver rows newer than gold, upserted by key."""
+    """Features of the silver rows newer than gold, upserted by key; one row per key of silver.
+
+    Silver rows that came late are left to :func:`~pollpipe.plans.repair_late_rows`.
+    """
     return build_features(silver, gold, spec, columns, lookback, domain)

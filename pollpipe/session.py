@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,7 +20,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session, as in tests, may do without the setting.
+    Only a local session, as in tests, may do without the setting; it gets a folder that is
+    removed when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -28,6 +31,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
         folder = tempfile.mkdtemp(prefix="pollpipe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -8,6 +8,7 @@ because the files move into place only when the job commits.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -57,9 +58,11 @@ class FeedTable:
         after: dt.datetime | None = None,
         before: dt.datetime | None = None,
         until: dt.datetime | None = None,
-        dates: list[dt.date] | None = None,
+        dates: list[dt.date | None] | None = None,
+        untimed: bool = False,
     ) -> DataFrame:
-        """Rows with ``time >= since``, ``> after``, ``< before`` and ``<= until``.
+        """Rows with ``time >= since``, ``> after``, ``< before`` and ``<= until``; with
+        ``untimed`` also the rows whose time is missing or unreadable.
 
         Bounds are driver-side UTC times. Each one prunes date partitions as well, and
         on a typed time column reaches the parquet scan.
@@ -69,8 +72,10 @@ class FeedTable:
         # compare in the stored type, so that the bound can be pushed into the scan
         time_type = "timestamp" if stored_type == "string" else stored_type
         time = F.col(self.time).try_cast(time_type)
+        outside = F.col(DATE).isNull() if untimed else F.lit(False)
         if dates is not None:
-            df = df.where(F.col(DATE).isin(dates))
+            known = F.col(DATE).isin([d for d in dates if d is not None])
+            df = df.where(known | F.col(DATE).isNull() if None in dates else known)
         for bound, keep, on_date in (
             (since, lambda t: time >= t, lambda d: F.col(DATE) >= d),
             (after, lambda t: time > t, lambda d: F.col(DATE) >= d),
@@ -80,7 +85,7 @@ class FeedTable:
             if bound is not None:
                 # microseconds pin the instant whatever time zone the driver runs in
                 instant = F.timestamp_micros(F.lit(to_micros(bound))).cast(time_type)
-                df = df.where(on_date(F.lit(_utc(bound).date())) & keep(instant))
+                df = df.where(outside | (on_date(F.lit(_utc(bound).date())) & keep(instant)))
         return df.drop(DATE)
 
     def max_time(self) -> dt.datetime | None:
@@ -88,14 +93,20 @@ class FeedTable:
         if not self.exists():
             return None
         df = self._stored()
-        # the date comes from the partition names, without opening files
-        with setting(self.spark, "spark.sql.optimizer.metadataOnly", "true"):
-            last = df.agg(F.max(DATE)).first()[0]
-        newest = df.where(F.col(DATE) == F.lit(last)).agg(F.max(self._micros())).first()[0]
-        if newest is None:
-            # a date without rows, or no dates at all
-            newest = df.agg(F.max(self._micros())).first()[0]
-        return from_micros(newest)
+        for last in sorted(self.dates(), reverse=True):
+            newest = df.where(F.col(DATE) == F.lit(last)).agg(F.max(self._micros())).first()[0]
+            if newest is not None:  # a date may be left without rows
+                return from_micros(newest)
+        return None
+
+    def dates(self) -> list[dt.date]:
+        """The dates of the table, from the names of its partitions; no file is opened."""
+        if self.by_path:
+            names = self._stored().inputFiles()
+        else:
+            names = [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.location}").collect()]
+        found = {m[1] for n in names if (m := re.search(DATE + r"=(\d{4}-\d\d-\d\d)", n))}
+        return sorted(dt.date.fromisoformat(d) for d in found)
 
     def with_date(self, df: DataFrame) -> DataFrame:
         # UTC calendar day, whatever the session time zone
@@ -108,8 +119,8 @@ class FeedTable:
         # text that is no time has no date and sorts nowhere
         return F.unix_micros(F.col(self.time).try_cast("timestamp"))
 
-    def dates_in(self, df: DataFrame) -> list[dt.date]:
-        """Dates touched by ``df``: at most one value per calendar day."""
+    def dates_in(self, df: DataFrame) -> list[dt.date | None]:
+        """Dates touched by ``df``: at most one value per calendar day, None for rows without a time."""
         return [r[0] for r in self.with_date(df).select(DATE).distinct().collect()]
 
     def _gathered(self, df: DataFrame) -> DataFrame:
@@ -118,6 +129,10 @@ class FeedTable:
             DATE, *self.cluster_by, self.time
         )
 
+    def earliest_in(self, df: DataFrame) -> dt.datetime | None:
+        """Earliest time of ``df`` in UTC; None if it has none."""
+        return from_micros(df.agg(F.min(self._micros())).first()[0])
+
     def append(self, df: DataFrame) -> None:
         writer = self._gathered(df).write.mode("append").partitionBy(DATE).format("parquet")
         writer.save(self.location) if self.by_path else writer.saveAsTable(self.location)

@@ -1,8 +1,8 @@
 """The same layer loads driven by Structured Streaming.
 
 Bronze is stateless and uses the exactly-once file sink. Silver and gold run the batch
-loads inside ``foreachBatch``: both merge by key, so a batch that is replayed after a
-failure changes nothing. Row-offset features cannot be expressed as a streaming
+loads inside ``foreachBatch``: they merge by key, and rows without a key by a hash of the row,
+so a batch that is replayed after a failure changes nothing. Row-offset features cannot be expressed as a streaming
 aggregate, hence gold reads its short lookback from the silver table in every batch.
 """
 
@@ -18,9 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.explode import explode_polls
 from ..operators.features import ChangeSpec
 from ..operators.lags import Cut
-from ..operators.merge import insert_into, one_per_key, split_null_keys
+from ..operators.merge import insert_all, insert_into, one_per_key
 from ..plans.features_load import build_features, repair_late_rows
 from ..plans.layers import SilverPlan, silver_rows
+from ..session import checkpoint as written_once
 from ..sources.tables import DATE, FeedTable
 from ..spec import FeedSpec
 
@@ -40,21 +41,20 @@ def stream_bronze(polls: DataFrame, feed: FeedSpec, bronze: FeedTable, checkpoin
 
 
 def stream_silver(
-    bronze: FeedTable, silver: FeedTable, plan: SilverPlan, checkpoint: str, unkeyed: FeedTable | None = None
+    bronze: FeedTable, silver: FeedTable, plan: SilverPlan, checkpoint: str, unkeyed: FeedTable, keep_copies: bool = True
 ) -> StreamingQuery:
     """New bronze rows to silver, insert-only by key, then stop.
 
-    Unlike the watermark-driven load this takes late polls too.
+    Takes polls however late. Rows without a complete key go to ``unkeyed``.
     """
     spark = bronze.spark
     rows = spark.readStream.schema(bronze.read().schema).parquet(bronze.location)
     typed = silver_rows(rows, plan)
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        keyed, without = split_null_keys(batch, plan.feed.key)
-        insert_into(_here(silver, batch), one_per_key(keyed, plan.feed.key), plan.feed.key)
-        if unkeyed is not None and not without.isEmpty():
-            unkeyed.append(without)
+        here = _here(silver, batch)
+        rows = written_once(batch)
+        insert_all(here, _here(unkeyed, batch), rows, plan.feed.key, here.earliest_in(rows), keep_copies)
 
     return (
         typed.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -85,10 +85,11 @@ def stream_features(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         rows, features = _here(source, batch), _here(target, batch)
-        insert_into(rows, one_per_key(batch, key), key)
+        arrived = written_once(one_per_key(batch, key))
+        insert_into(rows, arrived, key)
         build_features(rows, features, spec, columns, lookback, domain, slicing)
         if late == "repair":
-            repair_late_rows(rows, features, spec, columns, lookback, batch, domain, slicing)
+            repair_late_rows(rows, features, spec, columns, lookback, arrived, domain, slicing)
 
     return (
         arrivals.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -173,7 +173,7 @@ def test_three_layers_and_gates(spark, tmp_path):
             polls.append((polls[-1][0], 200, {}, "u", body(record(symbol=None)), None))
         load_bronze(spark.createDataFrame(polls, ENVELOPE), preset.FEED, bronze)
         assert load_silver(bronze, silver, PLAN, unkeyed)
-        assert not load_silver(bronze, silver, PLAN)
+        assert not load_silver(bronze, silver, PLAN, unkeyed)
         assert load_gold(silver, gold, preset.FEATURES, GOLD, dt.timedelta(days=preset.LOOKBACK_DAYS))
     assert tuple(gold.read().columns) == GOLD
     rows = gold.read().where("symbol = 'C1'").orderBy("fetched_at").collect()
@@ -183,22 +183,23 @@ def test_three_layers_and_gates(spark, tmp_path):
     assert unkeyed.read().count() == 1
 
     key, time = preset.FEED.key, "fetched_at"
-    domain = accepted(bronze.read()).where("base_coin = 'BTC' and symbol is not null").withColumn(
-        time, F.col(time).cast("timestamp"))
+    domain = bronze.read()
     as_of = F.lit(dt.datetime(2026, 9, 18, 2, 40))
-    fine = gates.bronze_gate(domain, key, time, 3, 30, as_of, strict=True)
+    fine = gates.bronze_gate(domain, key, time, 3, 30, as_of, strict=True, domain=preset.FEED.domain)
+    assert fine.values["unkeyed_rows"] == 1
     assert fine.ok and fine.values["latest_poll_contract_count"] == 3 and fine.values["age_minutes"] == 10.0
-    poor = gates.bronze_gate(domain, key, time, 35, 5, as_of)
+    poor = gates.bronze_gate(domain, key, time, 35, 5, as_of, domain=preset.FEED.domain)
     assert len(poor.breaches) == 2
     eligible = F.col("rate").isNotNull() & (F.col("interval_hours") > 0)
     derived = ["rate_per_8h", "rate_annualized"]
-    assert gates.silver_gate(domain, silver.read(), key, time, eligible, derived, 30).ok
+    assert gates.silver_gate(domain, silver.read(), key, time, eligible, derived, 30, domain=preset.FEED.domain).ok
     holes = silver.read().withColumn("rate_per_8h", F.lit(None).cast("double"))
     assert "NULL" in gates.silver_gate(domain, holes, key, time, eligible, derived, 30).breaches[0]
     assert gates.gold_gate(silver.read(), gold.read(), key, time, 30).ok
     old = gold.read(before=dt.datetime(2026, 9, 18, 1))
     assert "lags" in gates.gold_gate(silver.read(), old, key, time, 30).breaches[0]
     assert "no data" in gates.gold_gate(silver.read(), gold.read().limit(0), key, time, 30).breaches[0]
+    domain = accepted(bronze.read()).where("base_coin = 'BTC' and symbol is not null")
     assert gates.reconciliation_gate(domain, silver.read(), gold.read(), strict=True).ok
     twice = gold.read().unionByName(gold.read())
     assert "duplicate" in gates.gold_gate(silver.read(), twice, key, time, 30).breaches[0]
@@ -210,11 +211,11 @@ def test_streams_equal_batch(spark, tmp_path):
     from pollpipe.sources import ENVELOPE
 
     landing = str(tmp_path / "in")
-    bronze, silver = (FeedTable(spark, str(tmp_path / n), "fetched_at") for n in "bs")
+    bronze, silver, unkeyed = (FeedTable(spark, str(tmp_path / n), "fetched_at") for n in "bsu")
     for start in (0, 6):
         spark.createDataFrame(poll_rows(spark, 6, start=start), ENVELOPE).write.mode("append").json(landing)
         stream_bronze(stream_polls(spark, landing, 1), preset.FEED, bronze, str(tmp_path / "c1")).awaitTermination()
-        stream_silver(bronze, silver, PLAN, str(tmp_path / "c2")).awaitTermination()
+        stream_silver(bronze, silver, PLAN, str(tmp_path / "c2"), unkeyed).awaitTermination()
     assert bronze.read().count() == 12 * 4
     assert silver.read().count() == 12 * 3
     assert repeated_keys(silver.read(), preset.FEED.key).count() == 0
