@@ -1,6 +1,6 @@
 """Registered queries over the given tables. Importing the package registers all of them."""
 
-from . import audits, changes, loads, polls, questions, records
+from . import audits, cases, changes, loads, polls, questions, records
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "audits", "changes", "loads", "polls", "questions", "records"]
+__all__ = ["ORACLES", "QUERIES", "audits", "cases", "changes", "loads", "polls", "questions", "records"]
