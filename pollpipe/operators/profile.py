@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.casting import cast_failed
+from ..session import checkpoint
 from ..spec import Field
 from .clean import field_kind, field_text
 
@@ -18,54 +19,49 @@ def profile_fields(df: DataFrame, fields: Sequence[Field], examples: int = EXAMP
     """One row per field: ``null_count``, ``unexpected_null_count`` (only for fields that
     must not be null), ``cast_failure_count`` and the smallest failing texts.
 
-    The counts are one aggregate over the table. For the examples only failing values
-    are unpivoted, and each task forwards at most ``examples`` of them per field.
+    One scan judges every value once. Only cells that are null or fail are unpivoted, and they
+    are counted per field and text before the shuffle; the rest works on those counts.
     """
-    kind, text = field_kind(df), field_text(df)
-    counts = df.agg(
-        *[F.count_if(kind(f.name).isNull()).alias(f"nulls_{i}") for i, f in enumerate(fields)],
-        *[F.count_if(cast_failed(text(f.name), f.type, kind(f.name))).alias(f"fails_{i}")
-          for i, f in enumerate(fields)],
+    counted = checkpoint(problem_cells(df, fields))
+    null = F.col("value").isNull()
+    totals = counted.groupBy("position").agg(
+        F.sum(F.when(null, F.col("n"))).alias("null_count"), F.sum(F.when(~null, F.col("n"))).alias("cast_failure_count")
     )
-    per_field = F.array(*[
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(f.name).alias("field"),
-            F.col(f"nulls_{i}").alias("null_count"),
-            (F.lit(0).cast("bigint") if f.nullable else F.col(f"nulls_{i}")).alias("unexpected_null_count"),
-            F.col(f"fails_{i}").alias("cast_failure_count"),
-        )
-        for i, f in enumerate(fields)
-    ])
-    report = counts.select(F.inline(per_field))
-    shown = failing_values(df, fields, examples).groupBy("field").agg(
-        F.array_sort(F.collect_list("value")).alias("cast_failure_examples")
+    smallest = Window.partitionBy("position").orderBy("value")
+    first = counted.where(~null).withColumn("rank", F.row_number().over(smallest)).where(F.col("rank") <= examples)
+    repeated = F.array_repeat("value", F.least("n", F.lit(examples)).cast("int"))
+    shown = first.groupBy("position").agg(
+        F.slice(F.array_sort(F.flatten(F.collect_list(repeated))), 1, examples).alias("cast_failure_examples")
     )
-    return (
-        report.join(F.broadcast(shown), "field", "left")
-        .withColumn("cast_failure_examples", F.coalesce("cast_failure_examples", F.array().cast("array<string>")))
-        .orderBy("position")
-        .drop("position")
+    names = df.sparkSession.createDataFrame(
+        [(i, f.name, f.nullable) for i, f in enumerate(fields)], "position int, field string, nullable boolean"
+    )
+    zero = F.lit(0).cast("bigint")
+    # both sides have one row per field at most
+    report = names.join(F.broadcast(totals), "position", "left").join(F.broadcast(shown), "position", "left")
+    return report.orderBy("position").select(
+        "field",
+        F.coalesce("null_count", zero).alias("null_count"),
+        F.when(F.col("nullable"), zero).otherwise(F.coalesce("null_count", zero)).alias("unexpected_null_count"),
+        F.coalesce("cast_failure_count", zero).alias("cast_failure_count"),
+        F.coalesce("cast_failure_examples", F.array().cast("array<string>")).alias("cast_failure_examples"),
     )
 
 
-def failing_values(df: DataFrame, fields: Sequence[Field], n: int) -> DataFrame:
-    """The ``n`` smallest failing texts per field."""
+def problem_cells(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """``position`` of the field, ``value`` and their number ``n`` for all cells that are null (a
+    NULL value) or cannot be cast (their text)."""
     kind, text = field_kind(df), field_text(df)
-    failing = F.array_compact(F.array(*[
-        F.when(
-            cast_failed(text(f.name), f.type, kind(f.name)),
-            F.struct(F.lit(f.name).alias("field"), text(f.name).alias("value")),
-        )
-        for f in fields
+
+    def cell(i: int, value: Column) -> Column:
+        return F.struct(F.lit(i).alias("position"), value.cast("string").alias("value"))
+
+    cells = F.array_compact(F.array(*[
+        F.when(kind(f.name).isNull(), cell(i, F.lit(None)))
+        .when(cast_failed(text(f.name), f.type, kind(f.name)), cell(i, text(f.name)))
+        for i, f in enumerate(fields)
     ]))
-    smallest = Window.partitionBy("field").orderBy("value")
-    return (
-        df.select(F.explode(failing).alias("f")).select("f.field", "f.value")
-        .withColumn("n", F.row_number().over(smallest))
-        .where(F.col("n") <= n)
-        .drop("n")
-    )
+    return df.select(F.inline(cells)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def problem_fields(report: DataFrame) -> DataFrame:
