@@ -78,7 +78,7 @@ def test_feed_needs_its_key():
 
 
 PLAN = SilverPlan(preset.FEED, preset.derived_columns, preset.quality_rules)
-GOOD_TIME = "2026-09-18T03:36:00+00:00"
+GOOD_TIME = "2031-03-07T11:13:00.500+00:00"
 
 
 def silver(spark, *records, at=GOOD_TIME):
@@ -94,9 +94,9 @@ def test_silver_schema_and_good_row(spark):
     assert [f.dataType for f in df.schema.fields[:19]] == [f.dataType for f in preset.FEED.typed_schema().fields]
     row = df.first()
     assert row.silver_cast_issues == [] and row.silver_quality_issues == []
-    assert row.rate == 6.897e-05 and row.interval_hours == 8 and row.is_stale is False
-    assert row.rate_per_8h == 6.897e-05 * 8.0 / 8 and row.rate_annualized == 6.897e-05 * (8760.0 / 8)
-    assert row.poll_lag_seconds == pytest.approx(17.271)
+    assert row.rate == 0.00125 and row.interval_hours == 4 and row.is_stale is False
+    assert row.rate_per_8h == 0.00125 * 8.0 / 4 and row.rate_annualized == 0.00125 * (8760.0 / 4)
+    assert row.poll_lag_seconds == pytest.approx(47.25)
 
 
 def test_absent_field_is_null_and_no_issue(spark):
@@ -127,7 +127,7 @@ def test_issue_rows(spark):
         {"cast": "silver_cast_issues", "quality": "silver_quality_issues"},
     ).collect()
     assert sorted(tuple(r) for r in rows) == [
-        ("BTCUSDT", "cast", "rate"), ("BTCUSDT", "quality", "invalid_interval_hours")]
+        ("TALLYUSD", "cast", "rate"), ("TALLYUSD", "quality", "invalid_interval_hours")]
 
 
 def profile(spark, *records, at=AT):

@@ -41,9 +41,9 @@ def test_window_of_days(spark):
 
 
 BASE = {
-    "rate": 0.0001, "interval_hours": 8, "mark_price": 77381.9, "open_interest": 8408566417.0,
-    "fetched_at": dt.datetime(2026, 9, 18, 3, 36), "updated_at": dt.datetime(2026, 9, 18, 3, 35),
-    "next_funding_time": dt.datetime(2026, 9, 18, 8), "age_seconds": 23,
+    "rate": -0.0004, "interval_hours": 2, "mark_price": 412.75, "open_interest": 90210.5,
+    "fetched_at": dt.datetime(2031, 3, 7, 11, 13), "updated_at": dt.datetime(2031, 3, 7, 11, 12),
+    "next_funding_time": dt.datetime(2031, 3, 7, 12), "age_seconds": 60,
 }
 SCHEMA = ("rate double, interval_hours bigint, mark_price double, open_interest double, fetched_at timestamp, "
           "updated_at timestamp, next_funding_time timestamp, age_seconds bigint")
@@ -52,10 +52,10 @@ RULES = [
     ({"interval_hours": 0}, ["invalid_interval_hours"]),
     ({"age_seconds": -1}, ["invalid_age_seconds"]),
     ({"age_seconds": 0}, ["invalid_age_seconds"]),
-    ({"updated_at": dt.datetime(2026, 9, 18, 3, 37)}, ["updated_at_after_fetched_at"]),
-    ({"next_funding_time": dt.datetime(2026, 9, 18, 3, 35)},
+    ({"updated_at": dt.datetime(2031, 3, 7, 11, 14)}, ["updated_at_after_fetched_at"]),
+    ({"next_funding_time": dt.datetime(2031, 3, 7, 11, 12)},
      ["stale_next_funding_time", "next_funding_time_not_after_updated_at"]),
-    ({"next_funding_time": dt.datetime(2026, 9, 18, 3, 35), "updated_at": dt.datetime(2026, 9, 18, 3, 34)},
+    ({"next_funding_time": dt.datetime(2031, 3, 7, 11, 12), "updated_at": dt.datetime(2031, 3, 7, 11, 11)},
      ["stale_next_funding_time"]),
     ({"mark_price": 0.0}, ["invalid_mark_price"]),
     ({"open_interest": -1.0}, ["negative_open_interest"]),
