@@ -124,7 +124,7 @@ def gold_of_copies(spark, sf_dir):
     return plain(gold.read())
 
 
-_AT = "TIMESTAMP '2024-01-31 00:00:00'"
+_AT = "TIMESTAMP '2024-02-02 00:00:00'"
 
 
 @query(f"""
@@ -146,7 +146,7 @@ def gate_breaches(spark, sf_dir):
     load_bronze(damaged_polls(spark, sf_dir), preset.FEED, bronze)
     load_silver(bronze, silver, PLAN, unkeyed)
     load_gold(silver, gold, preset.FEATURES, GOLD_COLUMNS, LOOKBACK)
-    domain, as_of, time = preset.FEED.domain, F.lit(dt.datetime(2024, 1, 31)), "fetched_at"
+    domain, as_of, time = preset.FEED.domain, F.lit(dt.datetime(2024, 2, 2)), "fetched_at"
     eligible = F.col("rate").isNotNull() & F.coalesce(F.col("interval_hours") > 0, F.lit(False))
     layers = gates.gate_rows(bronze.read(), time, domain), silver.read(), gold.read()
     # a poll that misses the day is newer than the last keyed row by less than a day
