@@ -15,9 +15,9 @@ Rules that a bare Spark cast would get wrong:
 * text such as ``1.5d``, ``2026`` or ``12:00:00``, which Spark would accept, is
   refused by a pattern before the cast.
 
-Known limits: digit grouping (``1_000``), basic dates (``20260918``) and week
-dates are refused too. Times without an offset are read as UTC, so the session
-time zone has to be UTC.
+Digits may be grouped (``1_000``), and dates and times may be in the basic or the week
+form (``20260918T0800``, ``2026-W38-5``). Times without an offset are read as UTC, so the
+session time zone has to be UTC.
 """
 
 from __future__ import annotations
@@ -27,12 +27,18 @@ from pyspark.sql import functions as F
 
 from ..spec import SPARK_TYPES
 
-FLOAT_TEXT = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-INT_TEXT = r"^\s*[+-]?\d+\s*$"
+_DIGITS = r"\d+(_\d+)*"
+FLOAT_TEXT = rf"^\s*[+-]?({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?\s*$"
+INT_TEXT = rf"^\s*[+-]?{_DIGITS}\s*$"
 ISO_TEXT = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
 )
+# The other forms of a date, and of a time behind any date.
+OTHER_DATE = r"^(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-[1-7])?|\d{4}W\d{2}[1-7]?)"
+OTHER_ISO_TEXT = (
+    OTHER_DATE + r"([T ](\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?|\d{4}(\d{2}([.,]\d+)?)?)(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
+)
 
 
 # First two letters of a variant's schema text, per kind
@@ -58,9 +64,32 @@ def finite(value: Column) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
+def _ungrouped(text: Column) -> Column:
+    return F.replace(F.trim(text), F.lit("_"), F.lit(""))
+
+
+def _extended(text: Column) -> Column:
+    """A text of :data:`OTHER_ISO_TEXT` with date and time in the form with separators; NULL for
+    a week that its year does not have."""
+    date = F.regexp_extract(text, OTHER_DATE, 1)
+    digits = F.regexp_replace(date, "[-W]", "")
+    year, week = F.left(digits, F.lit(4)).try_cast("int"), F.substring(digits, 5, 2).try_cast("int")
+    day = F.coalesce(F.nullif(F.substring(digits, 7, 1), F.lit("")).try_cast("int"), F.lit(1))
+    fourth = F.try_to_date(F.concat(F.left(digits, F.lit(4)), F.lit("-01-04")))
+    of_week = F.date_add(fourth, (week - 1) * 7 + day - 1 - F.weekday(fourth))
+    of_week = F.when(F.weekofyear(of_week) == week, of_week.cast("string"))
+    basic = F.concat_ws("-", F.left(digits, F.lit(4)), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+    time = F.substring(text, F.char_length(date) + 1, F.char_length(text))
+    seconds = F.when(time.rlike(r"^[T ]\d{6}"), F.lit(":")).otherwise("")
+    spread = F.concat(F.left(time, F.lit(3)), F.lit(":"), F.substring(time, 4, 2), seconds, F.substring(time, F.lit(6), F.char_length(time)))
+    return F.concat(
+        F.when(date.contains("W"), of_week).otherwise(basic), F.when(time.rlike(r"^[T ]\d{4}"), spread).otherwise(time)
+    )
+
+
 def _to_float(text: Column, kind: Column) -> Column:
     number = F.when(kind == "boolean", (text == "true").cast("double")).when(
-        (kind == "number") | ((kind == "string") & text.rlike(FLOAT_TEXT)), F.trim(text).try_cast("double")
+        (kind == "number") | ((kind == "string") & text.rlike(FLOAT_TEXT)), _ungrouped(text).try_cast("double")
     )
     return finite(number)
 
@@ -69,14 +98,17 @@ def _to_int(text: Column, kind: Column) -> Column:
     whole = text.rlike(INT_TEXT)
     return (
         F.when(kind == "boolean", (text == "true").cast("bigint"))
-        .when(whole & kind.isin("number", "string"), F.trim(text).try_cast("bigint"))
+        .when(whole & kind.isin("number", "string"), _ungrouped(text).try_cast("bigint"))
         .when(kind == "number", text.try_cast("double").try_cast("bigint"))
     )
 
 
 def _to_time(text: Column, kind: Column) -> Column:
-    iso = (kind == "string") & text.rlike(ISO_TEXT)
-    return F.when(iso, F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp"))
+    plain = lambda t: F.replace(t, F.lit(","), F.lit(".")).try_cast("timestamp")
+    return F.when(
+        kind == "string",
+        F.when(text.rlike(ISO_TEXT), plain(text)).when(text.rlike(OTHER_ISO_TEXT), plain(_extended(text))),
+    )
 
 
 def _to_bool(text: Column, kind: Column) -> Column:

@@ -21,12 +21,12 @@ CASES = [
     # text, JSON kind, type, result
     ("0.1", "string", "float", 0.1), ("1e-3", "number", "float", 0.001), (" 5. ", "string", "float", 5.0),
     ("true", "boolean", "float", 1.0), ("NaN", "string", "float", FAIL), ("Infinity", "string", "float", FAIL),
-    ("1e999", "string", "float", FAIL), ("1.5d", "string", "float", FAIL), ("1_000", "string", "float", FAIL),
+    ("1e999", "string", "float", FAIL), ("1.5d", "string", "float", FAIL), ("1_000", "string", "float", 1000.0), ("1__0", "string", "float", FAIL), ("_1", "string", "float", FAIL), ("1_0.2_5e1_0", "string", "float", 10.25e10),
     ("", "string", "float", FAIL), ("[1]", "array", "float", FAIL), (None, None, "float", None),
     ("12", "string", "int", 12), (" +12 ", "string", "int", 12), ("12.9", "string", "int", FAIL),
     ("12.9", "number", "int", 12), ("-12.9", "number", "int", -12), ("1E3", "number", "int", 1000),
     ("9007199254740993", "number", "int", 9007199254740993), ("99999999999999999999", "number", "int", FAIL),
-    ("1_000", "string", "int", FAIL), ("false", "boolean", "int", 0), ("Infinity", "number", "int", FAIL),
+    ("1_000", "string", "int", 1000), ("1_", "string", "int", FAIL), ("false", "boolean", "int", 0), ("Infinity", "number", "int", FAIL),
     ("true", "boolean", "bool", True), ("false", "boolean", "bool", False), ("true", "string", "bool", FAIL),
     ("1", "number", "bool", FAIL),
     ("abc", "string", "str", "abc"), ("", "string", "str", ""), ("7", "number", "str", FAIL),
@@ -42,7 +42,13 @@ CASES = [
     ("2026-02-30", "string", "datetime", FAIL), ("not-a-timestamp", "string", "datetime", FAIL),
     ("2026", "string", "datetime", FAIL), ("12:00:00", "string", "datetime", FAIL),
     ("now", "string", "datetime", FAIL), ("2026-9-8", "string", "datetime", FAIL),
-    ("20260918", "string", "datetime", FAIL), ("2026-09-18T08:00:00+00:00", "number", "datetime", FAIL),
+    ("20260918", "string", "datetime", UTC(2026, 9, 18)), ("2026091", "string", "datetime", FAIL),
+    ("20260918T0800", "string", "datetime", UTC(2026, 9, 18, 8)), ("20260918T080005.25Z", "string", "datetime", UTC(2026, 9, 18, 8, 0, 5, 250000)),
+    ("2026-09-18T080005+0200", "string", "datetime", UTC(2026, 9, 18, 6, 0, 5)), ("20260230", "string", "datetime", FAIL),
+    ("2026-W38-5", "string", "datetime", UTC(2026, 9, 18)), ("2026W38", "string", "datetime", UTC(2026, 9, 14)),
+    ("2026W385T08:00", "string", "datetime", UTC(2026, 9, 18, 8)), ("2026-W53-7", "string", "datetime", UTC(2027, 1, 3)),
+    ("2025-W53-1", "string", "datetime", FAIL), ("2026-W38-8", "string", "datetime", FAIL), ("2026-W00-1", "string", "datetime", FAIL),
+    ("2026-09-18T08:00:00+00:00", "number", "datetime", FAIL),
 ]
 
 
