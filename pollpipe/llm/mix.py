@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,9 +81,9 @@ def mix(
     reruns agree whatever the partitioning; rows that repeat id and text are ordered arbitrarily
     but alike.
 
-    The cut is found in two steps. Words are summed by ``steps`` steps of the order, which
-    gives the step in which the sum passes the target; only the rows of that step are sorted, so
-    a source that holds a third of all rows is not sorted in one task.
+    The order is cut into ``steps`` steps. Sums of words by step, taken coarsely and then
+    finely, give the step in which the sum passes the target; only the rows of that step are
+    sorted, so a source that holds a third of all rows is not sorted in one task.
 
     NULL or empty texts have no words and count 0; a source without words has target 0 and
     none of its rows is taken. NULL sources are one source, last in order. NULL ids are allowed.
@@ -103,7 +105,7 @@ def mix(
     rows = rows.withColumn("x", F.when(F.col("part") > 0, rank / (1 + rank)))
     rows = rows.withColumn("step", F.floor(F.col("x") * steps).cast("int"))
     rows = rows.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
-    cuts = written(_cuts(rows), "mix-cuts")
+    cuts = written(_cuts(rows, steps), "mix-cuts")
     rows = _with_source(rows, cuts)
     at_cut = rows.where("step = cut_step")
     in_order = Window.partitionBy("source").orderBy("x", "u", "id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -125,10 +127,26 @@ def _with_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
     ).drop("of_source")
 
 
-def _cuts(rows: DataFrame) -> DataFrame:
-    """For each source whose words pass what is missing: the step where they do, the words before."""
-    by_step = rows.where("x is not null").groupBy("source", "step").agg(F.sum("size").alias("words"), F.max("missing").alias("missing"))
-    upto = Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = by_step.withColumn("upto", F.sum("words").over(upto))
+def _cuts(rows: DataFrame, steps: int) -> DataFrame:
+    """For each source whose words pass what is missing: the step where they do, the words before.
+
+    First among about the square root of the steps, then within the one found, so that
+    neither sum over a source's steps is long.
+    """
+    wide = max(1, math.isqrt(steps))
+    rows = rows.where("x is not null").select("source", "step", (F.col("step") / wide).cast("int").alias("stretch"), "size", "missing")
+    coarse = _passing(rows.withColumn("words_before", F.lit(0).cast("long")), "stretch")
+    coarse = written(coarse.withColumnRenamed("stretch", "cut_stretch"), "mix-stretches")
+    inside = _with_source(rows, coarse).where("stretch = cut_stretch")
+    return _passing(inside, "step").withColumnRenamed("step", "cut_step")
+
+
+def _passing(rows: DataFrame, by: str) -> DataFrame:
+    """``source``, ``by``, ``words_before``: where the words from the smallest ``by`` on pass the missing ones."""
+    summed = rows.groupBy("source", by).agg(
+        F.sum("size").alias("words"), F.max("missing").alias("missing"), F.max("words_before").alias("words_before")
+    )
+    upto = Window.partitionBy("source").orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = summed.withColumn("upto", F.col("words_before") + F.sum("words").over(upto))
     passes = summed.where("upto > missing and upto - words <= missing")
-    return passes.select("source", F.col("step").alias("cut_step"), (F.col("upto") - F.col("words")).alias("words_before"))
+    return passes.select("source", by, (F.col("upto") - F.col("words")).alias("words_before"))
