@@ -110,7 +110,7 @@ def _described(raw: bytes, first: bool) -> dict | None:
 
 
 PIECES = (
-    "file string, split long, seq long, start long, length long, at long, next long, leaves long, last long, closed boolean, "
+    "file string, split long, seq long, start long, length long, at long, next long, leaves long, closed boolean, "
     "type string, record_id string, refers_to string, uri string, stated string, payload_bytes long, payload_digest string, payload binary"
 )
 _COLUMNS = [c.split()[0] for c in PIECES.split(", ")]
@@ -120,13 +120,12 @@ def _split_rows(own: list[dict]) -> list[dict]:
     """Pieces of one split, with the chains inside it followed to where they leave it.
 
     Records lead forward only, so one pass from the end knows for each where its chain leaves the
-    split (``leaves``) and from which record (``last``).
+    split (``leaves``).
     """
-    ends: dict[int, tuple[int, int]] = {}
+    ends: dict[int, int] = {}
     for row in reversed(own):
         if row["at"] is not None:
-            row["leaves"], row["last"] = ends.get(row["next"], (row["next"], row["at"]))
-            ends[row["at"]] = row["leaves"], row["last"]
+            row["leaves"] = ends[row["at"]] = ends.get(row["next"], row["next"])
     return own
 
 
@@ -193,14 +192,14 @@ def _reachable(entries: DataFrame) -> DataFrame:
 
 
 def _follow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """The records of one split that lie on the chain through its reached entries."""
+    """The candidates of one split that do not lie on the chain through its reached entries."""
     after = dict(zip(rows["at"].tolist(), rows["next"].tolist(), strict=True))
     on = set()
     for at in rows.loc[rows["entry"], "at"].tolist():
         while at in after and at not in on:
             on.add(at)
             at = after[at]
-    return rows.loc[rows["at"].isin(on), ["file", "split", "seq"]]
+    return rows.loc[~rows["at"].isin(on), ["file", "split", "seq"]]
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = False, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -226,7 +225,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False, broadcast_
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = written(sums.select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")), "warc-splits")
     moved = pieces.join(bases, ["file", "split"]).withColumns(
-        {c: F.col(c) + F.col("base") for c in ("start", "at", "next", "leaves", "last")}
+        {c: F.col(c) + F.col("base") for c in ("start", "at", "next", "leaves")}
     )
     records = moved.where("at is not null").select("file", "split", "seq", "start", "at", "next", "leaves")
     entries = records.select("file", F.col("leaves").alias("at")).unionAll(records.where("at = 0").select("file", "at")).distinct()
@@ -235,8 +234,9 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False, broadcast_
     flagged = records.join(reached, ["file", "at"], "left").select(
         "file", "split", "seq", "at", "next", F.coalesce("entry", F.lit(False)).alias("entry")
     )
-    on_chain = written(flagged.groupBy("file", "split").applyInPandas(_follow, "file string, split long, seq long"), "warc-chain")
-    found = moved.join(on_chain, ["file", "split", "seq"])
+    # Few: only payloads that look like records, and what follows damage.
+    off_chain = written(flagged.groupBy("file", "split").applyInPandas(_follow, "file string, split long, seq long"), "warc-off-chain")
+    found = moved.where("at is not null").join(off_chain, ["file", "split", "seq"], "left_anti")
     names = ["file", "at", "type", "record_id", "refers_to", "uri"]
     value = [F.col("payload_bytes"), F.coalesce("payload_digest", "stated").alias("payload_digest"), *([F.col("payload")] if payloads else [])]
     closed = found.where("closed").select(*names, *value)
