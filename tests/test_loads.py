@@ -235,3 +235,64 @@ def test_feature_stream_with_late_files(spark, tmp_path, late):
         ).awaitTermination()
     expected = rows if late == "repair" else [r for r in rows if r not in middle]
     assert collected(target.read()) == collected(change_features(frame(spark, expected), SPEC).select(*COLUMNS))
+
+
+def layer_set(spark, tmp_path):
+    return [FeedTable(spark, str(tmp_path / n), "fetched_at") for n in ("bronze", "silver", "gold", "unkeyed")]
+
+
+def test_silver_takes_late_untimed_and_same_instant_rows(spark, tmp_path):
+    from pollpipe.sources import ENVELOPE
+
+    bronze, silver, _, unkeyed = layer_set(spark, tmp_path)
+    polls = poll_rows(spark, 6, contracts=2)
+    first, late = [polls[0], polls[5]], [polls[2], polls[5][:4] + (body(record(symbol="LATE")), None)]
+    load_bronze(spark.createDataFrame(first, ENVELOPE), preset.FEED, bronze)
+    assert load_silver(bronze, silver, PLAN, unkeyed).rows == 4
+    untimed = ("no time", 200, {}, "u", body(record(symbol="T")), None)
+    load_bronze(spark.createDataFrame([*late, untimed, untimed], ENVELOPE), preset.FEED, bronze)
+    added = load_silver(bronze, silver, PLAN, unkeyed)
+    assert (added.rows, added.copies, added.unkeyed) == (3, 0, 1)
+    assert [r.copies for r in unkeyed.read().collect()] == [2]
+    again = load_silver(bronze, silver, PLAN, unkeyed)
+    assert not again and (again.rows, again.unkeyed) == (0, 0)
+    assert silver.read().count() == 7 and unkeyed.read().count() == 1
+    older = poll_rows(spark, 1, contracts=2, start=-200)
+    load_bronze(spark.createDataFrame(older, ENVELOPE), preset.FEED, bronze)
+    assert not load_silver(bronze, silver, PLAN, unkeyed)
+    assert load_silver(bronze, silver, PLAN, unkeyed, reread=dt.timedelta(days=3)).rows == 2
+
+
+@pytest.mark.parametrize("keep", [True, False])
+def test_copies_are_counted_and_gold_has_one_row_per_key(spark, tmp_path, keep):
+    from pollpipe.sources import ENVELOPE
+
+    bronze, silver, gold, unkeyed = layer_set(spark, tmp_path)
+    polls = poll_rows(spark, 4, contracts=2)
+    changed = [p[:4] + (p[4].replace('"mark_price": 10', '"mark_price": 20'), None) for p in polls[1:3]]
+    load_bronze(spark.createDataFrame(polls + changed, ENVELOPE), preset.FEED, bronze)
+    added = load_silver(bronze, silver, PLAN, unkeyed, keep_copies=keep)
+    assert (added.rows, added.copies, added.dropped) == ((12, 4, 0) if keep else (8, 0, 4))
+    for _ in range(2):
+        load_gold(silver, gold, preset.FEATURES, GOLD, dt.timedelta(days=2))
+    assert gold.read().count() == 8 and repeated_keys(gold.read(), preset.FEED.key).count() == 0
+
+
+def test_gates_survive_unreadable_times(spark, tmp_path):
+    rows = [("e", "a", "2024-01-01T00:10:00+00:00"), ("e", "b", "2024-01-01T02:00:00+02:00"), ("e", "c", "zzz"), ("e", None, None)]
+    df = spark.createDataFrame(rows, "exchange string, symbol string, fetched_at string")
+    lag = gates.layer_lag(df, df.where("symbol = 'b'"), "fetched_at", ("up", "down")).first()
+    assert lag.lag_minutes == 10.0
+    judged = gates.gate_rows(df, "fetched_at", ("exchange", "e"), START)
+    assert sorted(r.symbol for r in judged.collect()) == ["a", "b"]
+
+
+def test_dates_come_from_partition_names(spark, tmp_path):
+    table = FeedTable(spark, str(tmp_path / "t"), "t")
+    table.append(frame(spark, [("a", 1, 1.0), ("a", 49, 2.0)]))
+    untimed = frame(spark, [("a", 1, 1.0)]).withColumn("t", F.lit(None).cast("timestamp"))
+    table.append(untimed)
+    assert table.dates() == [START.date(), START.date() + dt.timedelta(days=2)]
+    assert table.dates_in(untimed) == [None] and table.read(dates=[None]).count() == 1
+    since = START + dt.timedelta(days=1)
+    assert table.read(since=since).count() == 1 and table.read(since=since, untimed=True).count() == 2
