@@ -142,13 +142,13 @@ def table_watermark(spark, sf_dir):
 
 
 @query("""
-    SELECT column_name, data_type FROM (VALUES ('event_id', 'bigint'), ('ts', 'timestamp_ntz'), ('value', 'double'))
-        v(column_name, data_type) WHERE (SELECT count(*) FROM events) > 0
+    SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+        WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS data_type FROM (DESCRIBE events)
 """)
 def table_columns(spark, sf_dir):
     """Columns and types of a stored table."""
     (stored,) = event_tables(spark, "columns")
-    stored.append(table(spark, sf_dir, "events").select("event_id", "ts", "value"))
+    stored.append(table(spark, sf_dir, "events"))
     return stored.columns().select("column_name", "data_type")
 
 

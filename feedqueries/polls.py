@@ -394,7 +394,9 @@ def bronze_gate_metrics(spark, sf_dir):
            count(*) FILTER (WHERE cast_issues <> '') AS cast_issue_rows,
            count(*) FILTER (WHERE quality_issues <> '') AS quality_issue_rows,
            count(*) FILTER (WHERE rate IS NOT NULL AND interval_hours > 0) AS eligible_rows,
-           0 AS null_rate_per_8h, 0 AS null_rate_annualized
+           count(*) FILTER (WHERE rate IS NOT NULL AND interval_hours > 0 AND rate_per_8h IS NULL) AS null_rate_per_8h,
+           count(*) FILTER (WHERE rate IS NOT NULL AND interval_hours > 0 AND rate_annualized IS NULL)
+               AS null_rate_annualized
     FROM ({SILVER_SQL}) s
 """)
 def silver_gate_metrics(spark, sf_dir):

@@ -247,15 +247,17 @@ def custom_rules(spark, sf_dir):
 
 @query("""
     SELECT count(*) FILTER (WHERE l_discount IS NOT NULL AND l_linenumber > 1) AS eligible_rows,
-           0 AS null_rate_per_8h, 0 AS null_rate_annualized
+           count(*) FILTER (WHERE l_discount IS NOT NULL AND l_linenumber > 1
+               AND l_discount * 8.0 / nullif(l_linenumber - 1, 0) IS NULL) AS null_rate_per_8h,
+           count(*) FILTER (WHERE l_discount IS NOT NULL AND l_linenumber > 1 AND l_quantity >= 45) AS null_rate_annualized
     FROM lineitem
 """)
 def derived_populated(spark, sf_dir):
-    """Derived columns are filled wherever they can be computed."""
+    """Derived columns are filled wherever they can be computed; one of them was emptied here and there."""
     rate, hours = F.col("l_discount"), F.col("l_linenumber") - 1
     rows = table(spark, sf_dir, "lineitem").select(
         rate.alias("rate"), hours.alias("hours"),
-        rate_per_basis(rate, hours).alias("rate_per_8h"), rate_per_year(rate, hours).alias("rate_annualized"),
+        rate_per_basis(rate, hours).alias("rate_per_8h"), F.when(F.col("l_quantity") < 45, rate_per_year(rate, hours)).alias("rate_annualized"),
     )
     eligible = F.col("rate").isNotNull() & F.coalesce(F.col("hours") > 0, F.lit(False))
     return rows.agg(*derived_metrics(eligible, ["rate_per_8h", "rate_annualized"]))
