@@ -66,14 +66,14 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 TYPED_SQL = """
     SELECT l_orderkey, l_linenumber, l_partkey,
            CASE l_linenumber WHEN 1 THEN l_quantity WHEN 2 THEN l_quantity WHEN 5 THEN 1.0 END AS quantity,
-           CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 END AS line,
+           CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 5 THEN 1000 END AS line,
            CASE l_linenumber WHEN 1 THEN l_shipdate WHEN 2 THEN l_shipdate + INTERVAL 390 MINUTE
                              WHEN 7 THEN l_shipdate + INTERVAL 250 MILLISECOND END AS shipped,
            CASE WHEN l_linenumber < 7 THEN l_returnflag END AS flag,
            CASE WHEN l_linenumber = 1 THEN true WHEN l_linenumber > 3 THEN false END AS late,
            CASE WHEN l_linenumber IN (3, 4) THEN l_tax END AS tax,
            concat_ws(',', CASE WHEN l_linenumber IN (3, 4, 6, 7) THEN 'quantity' END,
-                          CASE WHEN l_linenumber IN (4, 5, 6) THEN 'line' END,
+                          CASE WHEN l_linenumber IN (4, 6) THEN 'line' END,
                           CASE WHEN l_linenumber IN (3, 4, 5, 6) THEN 'shipped' END,
                           CASE WHEN l_linenumber = 7 THEN 'flag' END,
                           CASE WHEN l_linenumber IN (2, 3) THEN 'late' END) AS issues
@@ -105,7 +105,7 @@ PROFILE_SQL = """
     SELECT 'quantity' AS field, 0 AS null_count, 0 AS unexpected_null_count,
            count(*) FILTER (WHERE l_linenumber IN (3, 4, 6, 7)) AS cast_failure_count FROM lineitem
     UNION ALL SELECT 'line', count(*) FILTER (WHERE l_linenumber = 7), count(*) FILTER (WHERE l_linenumber = 7),
-           count(*) FILTER (WHERE l_linenumber IN (4, 5, 6)) FROM lineitem
+           count(*) FILTER (WHERE l_linenumber IN (4, 6)) FROM lineitem
     UNION ALL SELECT 'shipped', 0, 0, count(*) FILTER (WHERE l_linenumber IN (3, 4, 5, 6)) FROM lineitem
     UNION ALL SELECT 'flag', 0, 0, count(*) FILTER (WHERE l_linenumber = 7) FROM lineitem
     UNION ALL SELECT 'late', 0, 0, count(*) FILTER (WHERE l_linenumber IN (2, 3)) FROM lineitem
@@ -119,7 +119,7 @@ PROFILE_SQL = """
             SELECT field, value FROM (
                 SELECT 'quantity' AS field, unnest(CASE l_linenumber WHEN 3 THEN ['1.5d'] WHEN 4 THEN ['NaN']
                     WHEN 6 THEN ['[1]'] WHEN 7 THEN ['not_a_number'] END) AS value FROM lineitem
-                UNION ALL SELECT 'line', unnest(CASE l_linenumber WHEN 4 THEN ['4.9'] WHEN 5 THEN ['1_000']
+                UNION ALL SELECT 'line', unnest(CASE l_linenumber WHEN 4 THEN ['4.9']
                     WHEN 6 THEN ['Infinity'] END) FROM lineitem
                 UNION ALL SELECT 'shipped', unnest(CASE l_linenumber WHEN 3 THEN ['2026'] WHEN 4 THEN ['12:00:00']
                     WHEN 5 THEN ['2026-02-30'] WHEN 6 THEN ['20260918'] END) FROM lineitem
