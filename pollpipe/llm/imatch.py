@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 BAND = (3.0, 25.0)
 #: Terms are told apart by this many bits of their hash, which bounds the lexicon.
 BITS = 22
-#: Each of these draws a chain of lexicons, every one a random half of the one before.
+#: Each draw gives a random lexicon of each density: a half, a quarter, and so on.
 DRAWS, HALVINGS = 4, 12
 #: Lexicons, from the sparsest that either text has terms in, on which likeness is judged.
 JUDGED = 12
@@ -77,8 +77,10 @@ def fingerprint(text: str, known: np.ndarray) -> str:
     """I-Match fingerprint: a hash of all terms kept, then one for each randomised lexicon.
 
     The lexicons go from sparse to dense; each contributes the hash of its sorted distinct terms
-    that occur in the text, or nothing where none does. Texts without any term in the band are
-    told apart by all their terms, and by themselves if they have no terms.
+    that occur in the text, or nothing where none does. A term is in a lexicon of density 1/2^h if h
+    bits of its number in the draw are zero, other bits for each density, so that lexicons do not
+    hang on the same few terms. Texts without any term in the band are told apart by all their
+    terms, and by themselves if they have no terms.
     """
     every = terms(text)
     at = _places(every)
@@ -91,10 +93,14 @@ def fingerprint(text: str, known: np.ndarray) -> str:
             for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
             mixed ^= mixed >> np.uint64(31)
-            halvings = np.bitwise_count((mixed & (~mixed + np.uint64(1))) - np.uint64(1))
-            for h in range(min(HALVINGS - 1, int(halvings.max())), -1, -1):
-                own = kept[halvings >= h]
-                parts[(HALVINGS - 1 - h) * DRAWS + d] = f"{xxhash.xxh32_intdigest(own.tobytes()) & 0xFFFFFF:06x}"
+            turned = 0
+            for level, h in enumerate(range(HALVINGS, 0, -1)):
+                if turned + h > 64:  # the bits are used up; dense lexicons may share some
+                    turned = 0
+                own = kept[(mixed >> np.uint64(turned)) & np.uint64((1 << h) - 1) == 0]
+                turned += h
+                if len(own):
+                    parts[level * DRAWS + d] = f"{xxhash.xxh32_intdigest(own.tobytes()) & 0xFFFFFF:06x}"
     return f"{xxhash.xxh64_hexdigest(whole)}:{','.join(parts)}"
 
 
