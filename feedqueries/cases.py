@@ -17,7 +17,7 @@ from pollpipe.streaming import stream_silver
 from .audits import status_totals
 from .changes import FEATURE_COLUMNS, MEASURES_SQL, features_sql, measures
 from .polls import GOLD_COLUMNS, GOLD_SQL, PLAN, SILVER_SQL, feed_polls, landed_polls, layer_tables, plain
-from .registry import fresh_dir, query
+from .registry import arrived, fresh_dir, query
 
 KEY = preset.FEED.key
 LOOKBACK = dt.timedelta(days=60)
@@ -35,9 +35,7 @@ def unreadable(polls: DataFrame) -> DataFrame:
 
 
 def damaged_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_dir(spark, "polls")
-    unreadable(feed_polls(spark, sf_dir)).write.json(path)
-    return read_polls(spark, path)
+    return read_polls(spark, arrived(unreadable(feed_polls(spark, sf_dir)), "damaged", sf_dir, "json"))
 
 
 DAMAGED = "(age_seconds + 3 IN (33, 44))"

@@ -15,7 +15,7 @@ from pollpipe.streaming import stream_bronze, stream_features, stream_silver
 
 from .changes import FEATURE_COLUMNS, FEATURES_SQL, LEVELS, MEASURES_SQL, features_sql, measures
 from .polls import GOLD_COLUMNS, GOLD_SQL, PLAN, SILVER_SQL, feed_polls, landed_polls, plain
-from .registry import ROWS_PER_FILE, fresh_dir, query, table
+from .registry import arrived, fresh_dir, query, table
 
 CUT = dt.datetime(1998, 1, 1)
 OVERLAP = dt.datetime(1997, 1, 1)
@@ -229,8 +229,7 @@ def late_row_count(spark, sf_dir):
 @query(f"SELECT exchange, symbol, fetched_at, rate_per_8h, quality_issues FROM ({SILVER_SQL}) s")
 def stream_silver_rows(spark, sf_dir):
     """Landed files through the bronze and silver streams."""
-    polls, root = fresh_dir(spark, "polls"), fresh_dir(spark, "layers")
-    feed_polls(spark, sf_dir).write.option("maxRecordsPerFile", ROWS_PER_FILE).json(polls)
+    polls, root = arrived(feed_polls(spark, sf_dir), "feed", sf_dir, "json"), fresh_dir(spark, "layers")
     bronze, silver, unkeyed = (FeedTable(spark, f"{root}/{name}", "fetched_at") for name in ("bronze", "silver", "unkeyed"))
     stream_bronze(stream_polls(spark, polls), preset.FEED, bronze, f"{root}/bronze_progress").awaitTermination()
     stream_silver(bronze, silver, PLAN, f"{root}/silver_progress", unkeyed).awaitTermination()
