@@ -8,7 +8,7 @@ import sys
 import types
 import zlib
 from bisect import bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CAPACITY = 1024
-#: Steps that the search for better fillings may take before it settles for its best so far.
+#: Steps that each of the two rounds of the search may take before it settles for the best so far.
 EFFORT = 400_000
-#: Fillings tried around the largest size of a state.
+#: Fillings tried around the largest size of a state while only a better incumbent is looked for.
 FILLINGS = 6
 #: Tokens that a task holds before it passes them on.
 BUFFER = 1 << 20
@@ -178,8 +178,8 @@ class _Steps:
         return self.left >= 0
 
 
-def fillings(counts: dict[int, int], order: list[int], room: int, steps: _Steps, most: int = FILLINGS) -> list[Filling]:
-    """Undominated ways to fill ``room`` with the sizes left, least waste first.
+def first_fillings(counts: dict[int, int], order: list[int], room: int, steps: _Steps, most: int = FILLINGS) -> list[Filling]:
+    """A few undominated ways to fill ``room`` with the sizes left, least waste first, for an incumbent.
 
     Largest sizes are tried first; the search ends at a filling without waste or after ``most``.
     A filling is dominated, and not returned, if one of its sizes could give way to a larger one
@@ -230,67 +230,166 @@ def fillings(counts: dict[int, int], order: list[int], room: int, steps: _Steps,
     return sorted(found, key=lambda items: (room - sum(items), [-s for s in items]))
 
 
+class _Sums:
+    """Which sums the sizes left can make, as bits; what did not change since the last state is kept."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.most, self.bits = capacity, [], [1]
+
+    def of(self, counts: dict[int, int], order: list[int]) -> list[int]:
+        """For each place in ``order`` and after it, the sums of the sizes before that place."""
+        most = [(s, min(counts[s], self.capacity // s)) for s in order]
+        same = next((i for i, (a, b) in enumerate(zip(most, self.most, strict=False)) if a != b), min(len(most), len(self.most)))
+        bits, within = self.bits[: same + 1], (1 << (self.capacity + 1)) - 1
+        for s, n in most[same:]:
+            made, part = bits[-1], 1
+            while n:
+                take = min(part, n)
+                made |= made << (take * s) & within
+                n, part = n - take, part * 2
+            bits.append(made)
+        self.most, self.bits = most, bits
+        return bits
+
+
+def fillings(
+    counts: dict[int, int], order: list[int], size: int, capacity: int, bits: list[int],
+    spare: Callable[[], int], barred: set[Filling], steps: _Steps,
+) -> Iterator[Filling]:
+    """All undominated fillings around one ``size``, the largest left, in order of their waste.
+
+    They are looked for as they are asked for, waste by waste up to what is ``spare``, large sizes
+    first; ``order`` has the sizes left, ``bits`` the sums that can be made without that one. Those in ``barred`` are left out.
+    A filling is dominated if a size left fits beside it, if one of its sizes could give way to a larger
+    one that is left and fits, or two of them to a single one as large as both: the other filling
+    then leaves smaller sizes over and can take no more bins.
+    """
+    used: dict[int, int] = defaultdict(int, {size: 1})
+
+    def fits(limit: int) -> int | None:
+        at = bisect_right(order, limit) - 1
+        while at >= 0 and counts[order[at]] - used[order[at]] <= 0:
+            at -= 1
+        return order[at] if at >= 0 else None
+
+    def dominated(items: Filling, waste: int) -> bool:
+        if fits(waste) is not None:
+            return True
+        for s in set(items):
+            larger = fits(s + waste)
+            if larger is not None and larger > s:
+                return True
+        for a, b in zip(items, items[1:], strict=False):
+            whole = fits(a + b + waste)
+            if whole is not None and whole >= a + b:
+                return True
+        return False
+
+    def fill(items: Filling, left: int, upto: int) -> Iterator[Filling]:
+        if not left:
+            yield items
+        for at in range(min(upto, bisect_right(order, left)) - 1, -1, -1):
+            if not bits[at + 1] >> left & 1:
+                return  # nor can the smaller ones make it
+            s = order[at]
+            for take in range(min(counts[s] - used[s], left // s), 0, -1):
+                if bits[at] >> (left - take * s) & 1:
+                    if not steps.spend():
+                        return
+                    used[s] += take
+                    yield from fill((*items, *(s,) * take), left - take * s, at)
+                    used[s] -= take
+
+    room, waste = capacity - size, 0
+    while waste <= min(room, spare()) and steps.left > 0:
+        if bits[-1] >> (room - waste) & 1:
+            for items in fill((), room - waste, len(bits) - 1):
+                if (size, *items) not in barred and not dominated(items, waste):
+                    yield (size, *items)
+        waste += 1
+
+
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, effort: int = EFFORT) -> dict[Filling, int]:
     """Fillings (sizes of a sequence) with the number of sequences that get each.
 
     Bin completion over sizes with counts. The incumbent is best-fit decreasing; if it reaches
     the lower bound it is optimal. Else states are searched depth first: the largest size left must
     go somewhere, so each undominated filling around it is a branch, taken for as many bins as
-    the counts allow. A branch ends as soon as its waste exceeds what a packing of fewer bins than
-    the incumbent's could afford. After ``effort`` steps the incumbent stands. The work depends on
+    the counts allow and then for each smaller number. As later branches of a state do without the
+    fillings before them beyond the number taken, these are barred there. A branch ends as soon as
+    its waste exceeds what a packing of fewer bins than the incumbent's could afford.
+
+    Two rounds: the first tries a few fillings per state, each as often as it goes, for a better
+    incumbent; the second leaves none out and ends with an optimal packing, or after ``effort`` steps
+    with the incumbent. The first also takes ``effort`` steps at most. The work depends on
     the number of different sizes, at most ``capacity``, and not on how many documents there are.
     """
     counts = {s: n for s, n in counts.items() if n > 0}
     if not counts:
         return {}
-    best = best_fit(counts, capacity)
-    bins, bound = sum(best.values()), least_bins(counts, capacity)
-    total, steps = sum(s * n for s, n in counts.items()), _Steps(effort)
-    left, order = dict(counts), sorted(counts)
-    path: list[tuple[Iterator[Filling], Filling | None, int, int]] = []  # branches, taken, times, waste before
-    waste = 0
+    best, bound = best_fit(counts, capacity), least_bins(counts, capacity)
+    for whole in (False, True):
+        if sum(best.values()) > bound:
+            best = _search(counts, capacity, best, bound, _Steps(effort), whole)
+    return best
+
+
+def _search(counts: dict[int, int], capacity: int, best: dict[Filling, int], bound: int, steps: _Steps, whole: bool) -> dict[Filling, int]:
+    """The best packing found from ``best`` on; with ``whole``, no branch is left out."""
+    bins, waste = sum(best.values()), 0
+    total, left, order = sum(s * n for s, n in counts.items()), dict(counts), sorted(counts)
+    sums, barred = _Sums(capacity), set()
+    path: list[tuple[Iterator[Filling], list[Filling], Filling | None, int, int]] = []  # branches, tried, taken, times, waste before
+
+    def spare() -> int:
+        return (bins - 1) * capacity - total - waste
 
     def branches() -> Iterator[Filling]:
-        size = next(s for s in reversed(order) if left[s])
+        own = [s for s in order if left[s]]
+        size = own[-1]
         left[size] -= 1
-        options = [(size, *rest) for rest in fillings(left, order, capacity - size, steps)]
+        if whole:
+            options = fillings(left, own, size, capacity, sums.of(left, own), spare, barred, steps)
+        else:
+            options = iter([(size, *rest) for rest in first_fillings(left, own, capacity - size, steps)])
         left[size] += 1
-        return iter(options)
+        return options
 
     def step(taken: Filling, times: int) -> None:
         for s in taken:
             left[s] -= times
 
-    path.append((branches(), None, 0, 0))
+    path.append((branches(), [], None, 0, 0))
     while path and steps.left > 0 and bins > bound:
-        options, taken, times, before = path.pop()
+        options, tried, taken, times, before = path.pop()
         if taken is not None:
             step(taken, -times)
             waste = before
-        taken = next(options, None)
-        if taken is None:
-            continue
-        need: dict[int, int] = defaultdict(int)
-        for s in taken:
-            need[s] += 1
-        times = min(left[s] // n for s, n in need.items())
-        spare = (bins - 1) * capacity - total
+            times = times - 1 if whole else 0
+        if not times:
+            taken = next(options, None)
+            if taken is None:
+                barred.difference_update(tried)
+                continue
+            if whole:
+                barred.add(taken)
+                tried.append(taken)
+            times = min(left[s] // n for s, n in Counter(taken).items())
         unused = capacity - sum(taken)
-        if unused and waste + unused * times > spare:
-            times = (spare - waste) // unused
+        if unused:
+            times = min(times, spare() // unused)
+        steps.spend()
         if times <= 0:
-            path.append((options, None, 0, waste))
-            steps.spend()
+            path.append((options, tried, None, 0, waste))
             continue
-        path.append((options, taken, times, waste))
+        path.append((options, tried, taken, times, waste))
         step(taken, times)
         waste += unused * times
         if any(left.values()):
-            if steps.spend():
-                path.append((branches(), None, 0, waste))
+            path.append((branches(), [], None, 0, waste))
             continue
         packed: dict[Filling, int] = defaultdict(int)
-        for _, filling, number, _ in path:
+        for _, _, filling, number, _ in path:
             if filling is not None:
                 packed[filling] += number
         if sum(packed.values()) < bins:

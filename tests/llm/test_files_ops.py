@@ -168,6 +168,26 @@ def test_bin_completion_is_near_the_bound(n):
     assert bound <= sum(packed.values()) <= min(bound + 2, sum(packing.best_fit(counts, 1024).values()))
 
 
+def test_bin_completion_leaves_no_filling_out():
+    sizes = Counter([400, 390, 390, 380, 350, 322, 322, 274, 244])
+    packed = packing.complete_bins(sizes, 1024)
+    check_packed(sizes, packed, 1024)
+    assert sum(packed.values()) == 3
+    draw = random.Random(8)
+    sizes = Counter(draw.randint(200, 500) for _ in range(30))
+    packed = packing.complete_bins(sizes, 1024)
+    check_packed(sizes, packed, 1024)
+    assert sum(packed.values()) == packing.least_bins(sizes, 1024) == 11
+
+
+def test_fillings_are_all_undominated_ones_by_waste():
+    sizes = Counter([390, 390, 380, 350, 322, 322, 274, 244])
+    counts, order = sizes | Counter([400]), [*sorted(sizes), 400]
+    bits = packing._Sums(1024).of(sizes | Counter({400: 0}), order)
+    found = packing.fillings(counts, order, 400, 1024, bits, lambda: 300, set(), packing._Steps(1000))
+    assert list(found) == [(400, 380, 244), (400, 350, 274), (400, 390)]
+
+
 def check_sequences(rows, capacity=1024):
     for own in grouped(rows, lambda r: r.sequence_id).values():
         at = 0
