@@ -22,9 +22,11 @@ BITS = 22
 DRAWS, HALVINGS = 4, 12
 #: Lexicons, from the sparsest that either text has terms in, on which likeness is judged.
 JUDGED = 12
+#: The band is judged by only if it holds at least one in so many of a text's terms.
+DESCRIBED = 8
 
 _APART = bytes(0x20 if chr(b) in string.punctuation else b for b in range(256))
-_SEEDS = [np.uint64(xxhash.xxh64_intdigest(f"lexicon {d}".encode())) for d in range(DRAWS)]
+_SEEDS = np.array([[xxhash.xxh64_intdigest(f"lexicon {d}".encode())] for d in range(DRAWS)], np.uint64)
 
 
 def terms(text: str) -> np.ndarray:
@@ -73,35 +75,50 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND, text: str = "text
     return found
 
 
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Numbers of the terms in each draw."""
+    mixed = hashes ^ _SEEDS
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def _drawn(hashes: np.ndarray, mixed: np.ndarray, most: int = DRAWS * HALVINGS) -> str:
+    """Hashes of the sets of terms in each randomised lexicon, sparse to dense, until ``most`` have any."""
+    parts, found, turned = [""] * (DRAWS * HALVINGS), 0, 0
+    for level, h in enumerate(range(HALVINGS, 0, -1)):
+        if turned + h > 64:  # the bits are used up; dense lexicons may share some
+            turned = 0
+        inside = (mixed >> np.uint64(turned)) & np.uint64((1 << h) - 1) == 0
+        for d in np.flatnonzero(inside.any(axis=1)):
+            if found < most:
+                found += 1
+                parts[level * DRAWS + d] = f"{xxhash.xxh32_intdigest(hashes[inside[d]].tobytes()) & 0xFFFFFF:06x}"
+        if found >= most:
+            break
+        turned += h
+    return ",".join(parts) if found else ""
+
+
 def fingerprint(text: str, known: np.ndarray) -> str:
-    """I-Match fingerprint: a hash of all terms kept, then one for each randomised lexicon.
+    """I-Match fingerprint: a hash of all terms kept, then one for each randomised lexicon, twice.
 
     The lexicons go from sparse to dense; each contributes the hash of its sorted distinct terms
     that occur in the text, or nothing where none does. A term is in a lexicon of density 1/2^h if h
     bits of its number in the draw are zero, other bits for each density, so that lexicons do not
-    hang on the same few terms. Texts without any term in the band are told apart by all their
-    terms, and by themselves if they have no terms.
+    hang on the same few terms. The first time they are drawn from the terms in the band; this is left
+    out where fewer than one in ``DESCRIBED`` of the text's terms is, as in copies that make up much
+    of the corpus. The second time they are drawn from all terms, up to the ``JUDGED``-th that has
+    any, as no later one is ever judged. Texts without any term in the band are told apart by all
+    their terms, and by themselves if they have no terms.
     """
     every = terms(text)
     at = _places(every)
-    kept = every[(known[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+    inside = (known[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    kept, mixed = every[inside], _mixed(every)
     whole = kept.tobytes() if len(kept) else every.tobytes() or b"text:" + text.encode()
-    parts = [""] * (DRAWS * HALVINGS)
-    if len(kept):
-        for d, seed in enumerate(_SEEDS):
-            mixed = kept ^ seed
-            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-                mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
-            mixed ^= mixed >> np.uint64(31)
-            turned = 0
-            for level, h in enumerate(range(HALVINGS, 0, -1)):
-                if turned + h > 64:  # the bits are used up; dense lexicons may share some
-                    turned = 0
-                own = kept[(mixed >> np.uint64(turned)) & np.uint64((1 << h) - 1) == 0]
-                turned += h
-                if len(own):
-                    parts[level * DRAWS + d] = f"{xxhash.xxh32_intdigest(own.tobytes()) & 0xFFFFFF:06x}"
-    return f"{xxhash.xxh64_hexdigest(whole)}:{','.join(parts)}"
+    band = _drawn(kept, mixed[:, inside]) if len(kept) * DESCRIBED >= len(every) else ""
+    return f"{xxhash.xxh64_hexdigest(whole)}:{band}:{_drawn(every, mixed, JUDGED)}"
 
 
 def likeness(a: str, b: str, judged: int = JUDGED) -> float:
@@ -109,11 +126,15 @@ def likeness(a: str, b: str, judged: int = JUDGED) -> float:
     sparsest first, that have terms in either text (0 if there are none).
 
     Starting where the lexicons are just dense enough puts short and long texts on one scale: a
-    hash of few terms outlives an edit as often in either.
+    hash of few terms outlives an edit as often in either. Lexicons of the band are judged, or, where
+    it says too little of either text, those of all terms (``JUDGED`` at most).
     """
     if a == b:
         return 1.0
-    pairs = zip(a.partition(":")[2].split(","), b.partition(":")[2].split(","), strict=True)
+    (_, band_a, all_a), (_, band_b, all_b) = a.split(":"), b.split(":")
+    if not (band_a and band_b):
+        band_a, band_b, judged = all_a, all_b, min(judged, JUDGED)
+    pairs = zip(band_a.split(","), band_b.split(","), strict=bool(band_a and band_b))
     first = [x == y for x, y in pairs if x or y][:judged]
     return sum(first) / len(first) if first else 0.0
 

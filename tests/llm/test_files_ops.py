@@ -258,6 +258,17 @@ def test_imatch_awkward(spark):
     assert imatch.fingerprints(empty(spark)).count() == 0
 
 
+def test_imatch_edited_copies_of_a_hot_group(spark):
+    hot = " ".join(f"common{k}" for k in range(200))
+    other = lambda i: " ".join(f"word{(i * 7 + k) % 500}" for k in range(40))
+    docs = [(i, hot if i % 3 == 0 else f"{hot} own{i // 6}" if i % 3 == 1 and i < 60 else other(i)) for i in range(300)]
+    rows = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    copies = [rows[i].near_edited for i in range(0, 300, 3)]  # a third of the rows, next to texts of terms in the band
+    near = [rows[i].near_edited for i in range(1, 60, 3)]  # one term of their own
+    assert min(copies + near) > 0 and np.mean(copies) > 0.2 and np.mean(near) > 0.2
+    assert np.median([rows[i].near_next for i in range(2, 297, 3)]) == 0
+
+
 def repeats(rows):
     """Plain version: bytes covered by a window of a document with a smaller id; NULL ids last."""
     order = lambda k: float("inf") if k is None else k
