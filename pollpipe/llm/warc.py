@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -171,6 +172,24 @@ def _raw(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _cores(spark: SparkSession) -> str:
+    """What Spark would derive the size of splits from at this moment."""
+    return spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or str(spark.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def _splits_for(spark: SparkSession, cores: str):
+    """Cut files into the same splits however many cores there are by now; for jobs run inside only."""
+    key = "spark.sql.files.minPartitionNum"
+    own = spark.conf.get(key, None)
+    spark.conf.set(key, own or cores)
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(key)
+
+
 def _reachable(entries: DataFrame) -> DataFrame:
     """``file``, ``at`` of the entries on the chain from the start of their file.
 
@@ -214,13 +233,16 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False, broadcast_
     where its successor would be. Chains are followed within each split, then by pointer jumping
     over the few candidates where chains enter splits, from the start of each file. What is not
     reached was part of a payload that looks like a record. A record with such a payload, or one
-    that runs over several splits, is put together from its pieces, which alone are read again.
+    that runs over several splits, is put together from its pieces, which alone are read again, in
+    the splits of the first time even if the number of cores has changed since.
     Offsets are sums of lengths, per split first, so no task sees more than its split.
 
     Chains end where a successor is missing; what follows in a damaged file is left out. An
     empty folder gives an empty result.
     """
-    pieces = written(_raw(spark, path).mapInPandas(_scan(payloads), PIECES), "warc-pieces")
+    cores = _cores(spark)
+    with _splits_for(spark, cores):
+        pieces = written(_raw(spark, path).mapInPandas(_scan(payloads), PIECES), "warc-pieces")
     sums = pieces.groupBy("file", "split").agg(F.sum(F.col("length") + _CUT).alias("total"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = written(sums.select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")), "warc-splits")
@@ -243,7 +265,10 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = False, broadcast_
     parted = written(found.where("not closed").select(*names, "next", "stated"), "warc-parted")
     if parted.isEmpty():
         return closed
-    rest = _put_together(spark, path, moved, parted, payloads, broadcast_rows)
+    with _splits_for(spark, cores):
+        rest = written(_put_together(spark, path, moved, parted, payloads, broadcast_rows), "warc-whole")
+    if rest.count() != parted.count():
+        raise RuntimeError(f"the archives under {path} changed while they were read")
     return closed.unionByName(parted.join(rest, ["file", "at"]).select(*names, *value))
 
 

@@ -68,6 +68,27 @@ def test_archives_round_trip(spark, split, bound):
     assert all(digest(bytes(r.payload).decode()) == r.payload_digest for r in payloads)
 
 
+def test_archives_read_while_cores_change(spark, monkeypatch):
+    rows = [(i, f"u{i}", forged(i % 4) + f"page {i} " * 20) for i in range(60)]
+    path = fresh(spark, "test-warc")
+    warc.write_warc(page_rows(spark, rows).coalesce(1), path)
+    raw, cores, key = warc._raw, iter((3, 11, 5, 7)), "spark.sql.leafNodeDefaultParallelism"
+
+    def after_a_change(*args):
+        spark.conf.set(key, next(cores))
+        return raw(*args)
+
+    monkeypatch.setattr(warc, "_raw", after_a_change)
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        got = {r.record_id: r.payload.decode() for r in warc.read_warc(spark, path, payloads=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset(key)
+    assert got == {f"<urn:page:{i}>": html for i, _, html in rows}
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
 def test_archives_least_and_empty(spark):
     rows = [(1, "u", "abc"), (2, "u", "abc"), (3, "u", "abcdef"), (4, "u", "abcdef")]
     path = fresh(spark, "test-warc")
