@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,10 +11,13 @@ from .chat import chat_turns
 from .common import ascii_lower, fresh, table, written
 from .exact import exact_groups
 from .imatch import fingerprints
+from .itq import near_duplicates
 from .mix import mix
+from .orchard import cluster, with_inertia
 from .packing import pack, tokenize
 from .quality import quality
 from .registry import query
+from .resample import resample
 from .runindex import remove_repeats
 from .secret_scan import scan, spans_text
 from .simhash import simhash_groups
@@ -158,3 +163,91 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_turns(table(spark, sf_dir, "conversations"))
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10, dims: int = 64, seed: int = 3, scale: int = 1024) -> str:
+    """One step of SQL per round: distances to all centroids, the nearest, floors of the means."""
+    far = "list_sum(list_transform(range(1, {d} + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT".format(d=dims)
+    steps = [f"""
+    WITH v AS MATERIALIZED (
+        SELECT vec_id, list_transform(embedding, lambda e: floor({scale} * e::DOUBLE)::BIGINT) AS x FROM embeddings
+        WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    ), c0 AS MATERIALIZED (
+        SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1)::INT AS cluster, x AS c
+        FROM v QUALIFY cluster < {k}
+    )"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+        SELECT vec_id, x, cluster, distance FROM (SELECT vec_id, x, cluster, {far} AS distance FROM v, c{r})
+        QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+    )""")
+        if r < rounds:
+            steps.append(f"""s{r + 1} AS MATERIALIZED (
+        SELECT cluster, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, {dims} + 1) AS t(i) GROUP BY cluster, i
+    ), c{r + 1} AS MATERIALIZED (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{r + 1} GROUP BY cluster
+        UNION ALL SELECT cluster, c FROM c{r} WHERE cluster NOT IN (SELECT cluster FROM s{r + 1})
+    )""")
+    return ", ".join(steps) + f"""
+    SELECT vec_id, a.cluster, distance, sum(distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+        sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster
+    """
+
+
+@query(_clustering_sql())
+def op11_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all usable ``embeddings``: one row per vector, with sums over its cluster and over all."""
+    clustered, centres = cluster(table(spark, sf_dir, "embeddings"))
+    sha = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centres)]
+    named = spark.createDataFrame(sha, "cluster int, centroid_sha256 string")
+    return with_inertia(clustered).join(F.broadcast(named), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+@query(
+    r"""
+    WITH w AS MATERIALIZED (
+        SELECT 0 AS aim, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+        UNION ALL
+        SELECT 1, NULL, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+    ), polynomial AS (
+        SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS p
+        FROM range(256) AS t(i)
+    ), vocabulary AS MATERIALIZED (
+        SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(word))),
+                lambda i: ('0x' || hex(encode(word))[2 * i + 1 : 2 * i + 2])::BIGINT)),
+            lambda c, b: xor(c >> 8, p[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+        FROM (SELECT DISTINCT word FROM w), polynomial
+    ), held AS (
+        SELECT bucket, count(*) FILTER (aim = 0) AS s, count(*) FILTER (aim = 1) AS t FROM w JOIN vocabulary USING (word) GROUP BY bucket
+    ), gain AS (
+        SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain
+        FROM held
+    ), weighed AS (
+        SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+        FROM w JOIN vocabulary USING (word) JOIN gain USING (bucket) WHERE aim = 0 GROUP BY doc_id
+    ), scored AS (
+        SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+            (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || d.doc_id), 8))::BIGINT + 0.5)::DOUBLE / 4294967296.0::DOUBLE))))::BIGINT AS score
+        FROM documents d LEFT JOIN weighed USING (doc_id)
+    ), placed AS (
+        SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+    )
+    SELECT s.doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+    FROM scored s LEFT JOIN placed USING (doc_id)
+    """
+)
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` scored by how much more their words are the words of ``benchmark``; a tenth drawn."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op13_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates among all ``embeddings``, whatever their labels."""
+    found = near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
