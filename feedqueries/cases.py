@@ -35,7 +35,7 @@ def unreadable(polls: DataFrame) -> DataFrame:
 
 
 def damaged_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_polls(spark, arrived(unreadable(feed_polls(spark, sf_dir)), "damaged", sf_dir, "json"))
+    return read_polls(spark, arrived(unreadable(feed_polls(spark, sf_dir)), "damaged", "json"))
 
 
 DAMAGED = "(age_seconds + 3 IN (33, 44))"

@@ -229,7 +229,7 @@ def late_row_count(spark, sf_dir):
 @query(f"SELECT exchange, symbol, fetched_at, rate_per_8h, quality_issues FROM ({SILVER_SQL}) s")
 def stream_silver_rows(spark, sf_dir):
     """Landed files through the bronze and silver streams."""
-    polls, root = arrived(feed_polls(spark, sf_dir), "feed", sf_dir, "json"), fresh_dir(spark, "layers")
+    polls, root = arrived(feed_polls(spark, sf_dir), "feed", "json"), fresh_dir(spark, "layers")
     bronze, silver, unkeyed = (FeedTable(spark, f"{root}/{name}", "fetched_at") for name in ("bronze", "silver", "unkeyed"))
     stream_bronze(stream_polls(spark, polls), preset.FEED, bronze, f"{root}/bronze_progress").awaitTermination()
     stream_silver(bronze, silver, PLAN, f"{root}/silver_progress", unkeyed).awaitTermination()

@@ -46,7 +46,7 @@ def props_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(200).alias("status_code"),
         F.concat(F.lit('{"data": ['), drifted, F.lit("]}")).alias("payload"),
     )
-    return spark.read.parquet(arrived(polls, "props", sf_dir))
+    return spark.read.parquet(arrived(polls, "props"))
 
 
 PROPS_SQL = """
@@ -100,7 +100,7 @@ def poll_explode(spark, sf_dir):
         iso(F.col("ts")).alias("fetched_at"), F.lit(200).alias("status_code"),
         F.concat(F.lit('{"data":['), first, F.lit(","), second, F.lit("]}")).alias("payload"),
     )
-    rows = accepted(explode_polls(spark.read.parquet(arrived(polls, "pairs", sf_dir)), ["event_id", "kind", "value", "k"]))
+    rows = accepted(explode_polls(spark.read.parquet(arrived(polls, "pairs")), ["event_id", "kind", "value", "k"]))
     return rows.select(
         F.get_json_object("raw_record_json", "$.event_id").cast("bigint").alias("event_id"),
         "kind", F.col("value").cast("double").alias("value"), F.col("k").cast("bigint").alias("k"),
@@ -126,7 +126,7 @@ def broken_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k < 50, F.concat(whole, F.lit(" rest")))
         .otherwise(whole).alias("payload"),
     )
-    return spark.read.parquet(arrived(polls, "broken", sf_dir))
+    return spark.read.parquet(arrived(polls, "broken"))
 
 
 BROKEN_SQL = """
@@ -235,7 +235,7 @@ def feed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed after a round trip through landed JSON files."""
-    return read_polls(spark, arrived(feed_polls(spark, sf_dir), "feed", sf_dir, "json"))
+    return read_polls(spark, arrived(feed_polls(spark, sf_dir), "feed", "json"))
 
 
 FEED_SQL = """

@@ -60,7 +60,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(200).alias("status_code"),
         F.concat(F.lit('{"data": [{'), body, F.lit("}]}")).alias("payload"),
     )
-    return accepted(explode_polls(spark.read.parquet(arrived(polls, "lines", sf_dir)), [f.name for f in FIELDS]))
+    return accepted(explode_polls(spark.read.parquet(arrived(polls, "lines")), [f.name for f in FIELDS]))
 
 
 TYPED_SQL = """

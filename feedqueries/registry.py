@@ -47,20 +47,11 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-_ARRIVED: dict[tuple[str, str, str], str] = {}
-
-
-def arrived(df: DataFrame, label: str, sf_dir: str, kind: str = "parquet") -> str:
-    """Folder of files in which ``df``, a feed made from the tables of ``sf_dir``, has arrived.
-
-    Written once per session: making up a feed is no part of the queries that take it.
-    """
-    key = (df.sparkSession.sparkContext.applicationId, sf_dir, label)
-    if key not in _ARRIVED:
-        path = fresh_dir(df.sparkSession, label)
-        df.write.option("maxRecordsPerFile", ROWS_PER_FILE).format(kind).save(path)
-        _ARRIVED[key] = path
-    return _ARRIVED[key]
+def arrived(df: DataFrame, label: str, kind: str = "parquet") -> str:
+    """Folder of files in which ``df``, a feed made from the given tables, has arrived."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).format(kind).save(path)
+    return path
 
 
 def landed(df: DataFrame, label: str) -> DataFrame:
@@ -68,5 +59,3 @@ def landed(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return df.sparkSession.read.parquet(path)
-
-

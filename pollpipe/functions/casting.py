@@ -88,27 +88,29 @@ def _extended(text: Column) -> Column:
 
 
 def _to_float(text: Column, kind: Column) -> Column:
-    number = F.when(kind == "boolean", (text == "true").cast("double")).when(
-        (kind == "number") | ((kind == "string") & text.rlike(FLOAT_TEXT)), _ungrouped(text).try_cast("double")
+    # JSON numbers have neither blanks nor grouped digits
+    number = (
+        F.when(kind == "number", text.try_cast("double"))
+        .when(kind == "boolean", (text == "true").cast("double"))
+        .when((kind == "string") & text.rlike(FLOAT_TEXT), _ungrouped(text).try_cast("double"))
     )
     return finite(number)
 
 
 def _to_int(text: Column, kind: Column) -> Column:
-    whole = text.rlike(INT_TEXT)
     return (
-        F.when(kind == "boolean", (text == "true").cast("bigint"))
-        .when(whole & kind.isin("number", "string"), _ungrouped(text).try_cast("bigint"))
-        .when(kind == "number", text.try_cast("double").try_cast("bigint"))
+        F.when(kind == "number", F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")))
+        .when(kind == "boolean", (text == "true").cast("bigint"))
+        .when((kind == "string") & text.rlike(INT_TEXT), _ungrouped(text).try_cast("bigint"))
     )
 
 
 def _to_time(text: Column, kind: Column) -> Column:
-    plain = lambda t: F.replace(t, F.lit(","), F.lit(".")).try_cast("timestamp")
-    return F.when(
-        kind == "string",
-        F.when(text.rlike(ISO_TEXT), plain(text)).when(text.rlike(OTHER_ISO_TEXT), plain(_extended(text))),
-    )
+    instant = lambda t: F.replace(t, F.lit(","), F.lit(".")).try_cast("timestamp")
+    # The rare forms are put as a function over an array of one text: its body stays out of the
+    # generated code, which could not hold it once per field, and runs only for texts not in the usual form.
+    rare = F.transform(F.array(text), lambda t: F.when(t.rlike(OTHER_ISO_TEXT), _extended(t)))[0]
+    return F.when(kind == "string", instant(F.when(text.rlike(ISO_TEXT), text).otherwise(rare)))
 
 
 def _to_bool(text: Column, kind: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -90,6 +90,9 @@ class Inserted:
     def __bool__(self) -> bool:
         return self.rows + self.unkeyed > 0
 
+    def __add__(self, other: Inserted) -> Inserted:
+        return Inserted(*(a + b for a, b in zip(astuple(self), astuple(other), strict=True)))
+
 
 def insert_all(
     table: FeedTable,
@@ -98,15 +101,16 @@ def insert_all(
     key: Sequence[str],
     since: dt.datetime | None = None,
     keep_copies: bool = True,
+    dates: list[dt.date | None] | None = None,
 ) -> Inserted:
     """Append the rows of ``batch`` with unknown keys, and those without a complete key to
     ``unkeyed``. No row is lost, and repeating the batch adds nothing.
 
-    ``since`` bounds where in the table the batch's keys can be. The rows to add are found and
+    ``since`` or ``dates`` bound where in the table the batch's keys can be. The rows to add are found and
     written down once; counts and both appends work on that. Copies of a new key are all
     added, for a key audit to see, or reduced to one per key and counted.
     """
-    fresh = batch if not table.exists() else new_rows(batch, table.read(since=since), key)
+    fresh = batch if not table.exists() else new_rows(batch, table.read(since=since, dates=dates), key)
     fresh = checkpoint(fresh)
     keyed, without = split_null_keys(fresh, key)
     counts = fresh.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))

@@ -1,9 +1,11 @@
+from .carried import Carried, SeriesState, load_gold_carried, reach
 from .features_load import (
     affected_by_late_rows, build_features, earliest, features_of_new_rows, late_keys, repair_late_rows,
 )
-from .layers import SilverPlan, load_bronze, load_gold, load_silver, silver_rows
+from .layers import SilverPlan, load_bronze, load_gold, load_silver, load_silver_arrived, silver_rows
 
 __all__ = [
-    "SilverPlan", "affected_by_late_rows", "build_features", "earliest", "features_of_new_rows", "late_keys",
-    "load_bronze", "load_gold", "load_silver", "repair_late_rows", "silver_rows",
+    "Carried", "SeriesState", "SilverPlan", "affected_by_late_rows", "build_features", "earliest", "features_of_new_rows",
+    "late_keys", "load_bronze", "load_gold", "load_gold_carried", "load_silver", "load_silver_arrived", "reach",
+    "repair_late_rows", "silver_rows",
 ]

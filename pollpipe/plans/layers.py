@@ -14,6 +14,7 @@ from ..operators.clean import clean_records
 from ..operators.explode import accepted, explode_polls
 from ..operators.features import ChangeSpec
 from ..operators.merge import Inserted, insert_all
+from ..sources.arrivals import FILES_PER_BATCH, Arrivals
 from ..sources.tables import FeedTable
 from ..spec import FeedSpec
 from .features_load import build_features
@@ -70,6 +71,29 @@ def load_silver(
     return insert_all(silver, unkeyed, rows, plan.feed.key, since, keep_copies)
 
 
+def load_silver_arrived(
+    bronze: FeedTable,
+    silver: FeedTable,
+    plan: SilverPlan,
+    unkeyed: FeedTable,
+    log: str,
+    files_per_batch: int = FILES_PER_BATCH,
+    keep_copies: bool = True,
+) -> Inserted:
+    """Insert the rows of all bronze files not taken yet, however old their times are.
+
+    ``log`` is the folder that remembers the files taken. Only new files are read, and of silver
+    only the keys of the dates that those files belong to. Each batch of files is committed
+    after its rows are in; one that was cut off is repeated, which inserts nothing twice.
+    """
+    arrivals, added = Arrivals(bronze, log), Inserted()
+    while batch := arrivals.next_batch(files_per_batch):
+        rows = silver_rows(batch.read(), plan)
+        added += insert_all(silver, unkeyed, rows, plan.feed.key, None, keep_copies, batch.dates)
+        arrivals.commit(batch)
+    return added
+
+
 def load_gold(
     silver: FeedTable,
     gold: FeedTable,

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import setting
 
@@ -49,6 +50,17 @@ class FeedTable:
                 return False
             raise
 
+    def path(self) -> str:
+        """Folder of the table's files."""
+        if self.by_path:
+            return self.location
+        facts = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.location}")
+        return facts.where(F.col("col_name") == "Location").first()["data_type"]
+
+    def schema(self, with_date: bool = False) -> T.StructType:
+        stored = self._stored().schema
+        return stored if with_date else T.StructType([f for f in stored.fields if f.name != DATE])
+
     def _stored(self) -> DataFrame:
         return self.spark.read.parquet(self.location) if self.by_path else self.spark.table(self.location)
 
@@ -88,6 +100,13 @@ class FeedTable:
                 df = df.where(outside | (on_date(F.lit(_utc(bound).date())) & keep(instant)))
         return df.drop(DATE)
 
+    def newest(self) -> DataFrame:
+        """Rows at the newest time; reads the last date only."""
+        moment = self.max_time()
+        if moment is None:
+            return self.read().where(F.lit(False))
+        return self.read(since=moment, until=moment)
+
     def max_time(self) -> dt.datetime | None:
         """Newest time in the table (UTC), read from its last date partition only."""
         if not self.exists():

@@ -10,6 +10,7 @@ from pollpipe.functions import cast_failed, cast_value
 from pollpipe.operators import accepted, cast_fields, explode_polls, issue_rows, problem_fields, profile_fields
 from pollpipe.plans import SilverPlan, silver_rows
 from pollpipe.presets import perpetuals as preset
+from pollpipe.session import setting
 from pollpipe.spec import FeedSpec, Field
 
 from test_polls import AT, body, polls, record
@@ -172,3 +173,17 @@ def test_profile_counts_absent_columns_as_null(spark):
 def test_raw_json_round_trip(spark):
     (row,) = accepted(explode_polls(polls(spark, body(record(rate=0.1, symbol='a"b\\'))), preset.FEED.vendor_fields)).collect()
     assert json.loads(row.raw_record_json)["symbol"] == 'a"b\\' and row.symbol == 'a"b\\'
+
+
+def test_typed_rows_stay_within_generated_code(spark):
+    """Without the interpreted way out, a plan whose code is too large for the JVM is an error."""
+    times = ["2031-W10-5T1112", "20310307T111213", "2031-03-07T11:12:13,5+00:00", "2031-W60"]
+    rows = polls(spark, body(*[record(updated_at=t, mark_price_updated_at=t, next_funding_time=t) for t in times]))
+    plan = SilverPlan(preset.FEED, preset.derived_columns, preset.quality_rules)
+    with setting(spark, "spark.sql.codegen.fallback", "false"):
+        bronze = explode_polls(rows, preset.FEED.vendor_fields)
+        typed = silver_rows(bronze, plan)
+        found = [r.updated_at for r in typed.collect()]
+        issue_rows(typed, preset.FEED.key, {"cast": "silver_cast_issues"}).collect()
+    hours = [dt.datetime(2031, 3, 7, 11, 12), dt.datetime(2031, 3, 7, 11, 12, 13), dt.datetime(2031, 3, 7, 11, 12, 13, 500_000)]
+    assert found == [*hours, None]
