@@ -7,10 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollpipe.plans import SeriesState, load_bronze, load_gold_carried, load_silver_arrived
+from pollpipe.plans import SeriesState, load_bronze, load_gold_carried, load_silver_arrived, silver_rows
 from pollpipe.plans.analytics import latest_values
 from pollpipe.presets import perpetuals as preset
+from pollpipe.operators import explode_polls
 from pollpipe.sources import FeedTable
+from pollpipe.streaming import stream_features_stateful
 
 from .changes import FEATURE_COLUMNS, FEATURES_SQL, LEVELS, SERIES, measures
 from .loads import event_tables
@@ -96,3 +98,40 @@ def latest_rate_any_age(spark, sf_dir):
     silver, _, state = load_by_arrival(spark, sf_dir)
     measures = ["rate_per_8h", "funding_change", "is_large_move", "is_frozen"]
     return plain(latest_values(state.rows(silver), preset.FEED.entity, "fetched_at", measures))
+
+
+def stateful_stream(spark: SparkSession, sf_dir: str, late_minute: int | None) -> tuple[FeedTable, FeedTable]:
+    """Gold from the keyed state of a stream that is stopped and started again between three parts of
+    the month. With ``late_minute`` the rows of that minute of every hour land with the part after theirs."""
+    root = fresh_dir(spark, "stateful")
+    gold, late = (FeedTable(spark, f"{root}/{name}", "fetched_at") for name in ("gold", "late"))
+    typed = silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
+    part = F.floor((F.dayofmonth("fetched_at") - 1) / 11)
+    if late_minute is not None:
+        part = F.when(F.minute("fetched_at") == late_minute, part + 1).otherwise(part)
+    for number in range(3 if late_minute is None else 4):
+        typed.where(part == number).write.mode("append").parquet(f"{root}/silver")
+        arrivals = spark.readStream.schema(typed.schema).parquet(f"{root}/silver")
+        stream_features_stateful(arrivals, gold, late, preset.FEATURES, GOLD_COLUMNS, f"{root}/progress").awaitTermination()
+    return gold, late
+
+
+@query(f"SELECT {', '.join(GOLD_COLUMNS)} FROM ({GOLD_SQL}) g")
+def stream_gold_state(spark, sf_dir):
+    """Features from keyed streaming state over three batches and two restarts."""
+    return plain(stateful_stream(spark, sf_dir, None)[0].read())
+
+
+@query(f"""
+    WITH rows AS (
+        SELECT exchange, symbol, fetched_at, rate_per_8h, (day(fetched_at) - 1) // 11
+            + CASE WHEN minute(fetched_at) = {LATE_MINUTE} THEN 1 ELSE 0 END AS part FROM ({SILVER_SQL}) s
+    )
+    SELECT exchange, symbol, fetched_at, rate_per_8h FROM rows r
+    WHERE EXISTS (SELECT 1 FROM rows b WHERE b.exchange = r.exchange AND b.symbol = r.symbol AND b.part < r.part
+                  AND b.fetched_at >= r.fetched_at)
+""")
+def stream_late_rows(spark, sf_dir):
+    """What the stateful stream sets aside: rows older than what their series has seen in an earlier batch."""
+    late = stateful_stream(spark, sf_dir, LATE_MINUTE)[1]
+    return plain(late.read().select("exchange", "symbol", "fetched_at", "rate_per_8h"))
