@@ -83,13 +83,75 @@ def test_quality_awkward(spark):
     assert {r.score for r in quality.quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def over(x):
+    """Sums over rows in memory, in two blocks."""
+    return lambda f: f(x[: len(x) // 3]) + f(x[len(x) // 3 :])
+
+
 def test_risk_finds_negatives_among_the_unlabelled():
     rng = np.random.default_rng(1)
     good, bad = rng.normal(1, 1, (4000, quality.WIDTH)), rng.normal(-1, 1, (400, quality.WIDTH))
-    model = quality.fit(good[:2000], np.r_[good[2000:], bad], 2000 / 2400)
+    model = quality.fit(good[:2000], over(np.r_[good[2000:], bad]), 2000 / 2400)
     assert model.score(good[2000:]).mean() > 0.9 and model.score(bad).mean() < 0.2
 
 
+def test_prior_is_estimated_without_negatives():
+    rng = np.random.default_rng(2)
+    for share in (0.3, 0.8):
+        rows = np.r_[rng.normal(1, 1, (int(5000 * share), quality.WIDTH)), rng.normal(-1, 1, (int(5000 * (1 - share)), quality.WIDTH))]
+        model = quality.fit(rng.normal(1, 1, (2000, quality.WIDTH)), over(rows))
+        assert abs(model.prior - share) < 0.05
+
+
+def test_fit_is_at_the_least_risk():
+    """Slopes of the plain risk, written out and taken numerically, vanish at the fitted weights."""
+    rng = np.random.default_rng(3)
+    shift = np.r_[0.5, 0.5, 0.5, np.zeros(quality.WIDTH - 3)]
+    p, u = (rng.normal(0, 1, (n, quality.WIDTH)) for n in (20_000, 20_000))
+    p, u = p + shift, u + np.where(np.arange(20_000)[:, None] < 8_000, shift, -shift)
+    prior, decay = 0.4, 1e-3
+    model = quality.fit(p, over(u), prior, decay)
+    mean, scale = u.mean(axis=0), u.std(axis=0) + 1e-6
+
+    def risk(w, b):
+        f = lambda x: np.clip((x - mean) / scale, -8, 8) @ w + b
+        loss = lambda z: np.log1p(np.exp(-z))
+        return prior * loss(f(p)).mean() + loss(-f(u)).mean() - prior * loss(-f(p)).mean() + decay / 2 * (w * w).sum()
+
+    step = 1e-4
+    slopes = [(risk(model.weights + step * e, model.bias) - risk(model.weights - step * e, model.bias)) / (2 * step) for e in np.eye(quality.WIDTH)]
+    assert np.abs(slopes).max() < 1e-3
+
+
+def test_quality_scores_are_those_of_the_plain_version(spark):
+    rows = {r.doc_id: r for r in QUERIES["op7_quality"](spark, SF).collect()}
+    docs = dict(documents())
+    label = {}
+    for i, q in documents("doc_id, quality", name="labels"):
+        label[i] = min(q, label.get(i, 1))
+    x = {i: quality.features(t) for i, t in docs.items()}
+    trusted = np.stack([x[i] for i, q in label.items() if q == 1 and i in x and zlib.crc32(str(i).encode()) % 3 != 1])
+    model = quality.fit(trusted, lambda f: f(np.stack(list(x.values()))))
+    scores = dict(zip(x, model.score(np.stack(list(x.values()))), strict=True))
+    assert max(abs(scores[i] - r.score) for i, r in rows.items()) < 1e-5
+
+
+def test_quality_takes_one_row_of_an_id_and_bounds_positives_only(spark, monkeypatch):
+    seen = {}
+    whole = quality.fit
+
+    def watched(positive, total, prior=None):
+        seen["positive"], seen["rows"] = len(positive), total(lambda x: np.array([float(len(x))]))[0]
+        return whole(positive, total, prior)
+
+    monkeypatch.setattr(quality, "fit", watched)
+    docs = spark.range(30_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    docs = docs.unionAll(spark.range(100, 160).select(F.col("id"), F.concat(F.lit("word "), "id")))
+    labels = docs.select("doc_id").distinct().withColumn("quality", F.lit(1))
+    found = quality.quality(docs, labels, fit_rows=20)
+    assert found.count() == 30_060 and seen["positive"] <= 20 and seen["rows"] == 30_060
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
