@@ -14,10 +14,14 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import few, written
+
 CAPACITY = 1024
 #: Steps that each of the two rounds of the search may take before it settles for the best so far.
 EFFORT = 400_000
@@ -416,7 +420,27 @@ def _places(packed: dict[Filling, int]) -> tuple[np.ndarray, ...]:
     return at[:, 0], at[:, 1], np.array(sequences, np.int64)[order], np.array(offsets, np.int64)[order]
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT) -> DataFrame:
+def numbered(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with ``task`` and ``own``: how many pieces of its length its task has seen before it.
+
+    To be written at once: the numbers belong to the run of the tasks that wrote them.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), defaultdict(int)
+        for batch in batches:
+            own = []
+            for length in batch.column("length").to_pylist():
+                own.append(seen[length])
+                seen[length] += 1
+            new = [pa.array([task] * len(own), pa.int64()), pa.array(own, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "task", "own"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
+    return pieces.mapInArrow(number, f"{fields}, task long, own long")
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT, by_number: bool = False) -> DataFrame:
     """``pieces`` (any table with ``length``, from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
     ``pieces`` must be a written table, as it is read more than once and its order numbers the
@@ -425,19 +449,30 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT) -> D
     task of the scan, moved by the counts of the tasks before, so no length, however common, is
     numbered in one task. The number finds the sequence and the place in it.
 
+    With ``by_number`` the pieces bring the columns of :func:`numbered`, which are not returned, and no piece
+    is shuffled unless the counts per length and task are too many to be broadcast: the way
+    for pieces that carry their tokens.
+
     Pieces of equal length are interchangeable. An empty table gives an empty result.
     """
-    names = pieces.columns
+    names = [c for c in pieces.columns if not by_number or c not in ("task", "own")]
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     size, first, sequence, offset = _places(complete_bins(counts, capacity, effort))
-    rows = pieces.select(
-        F.struct(*(F.col(f"`{c}`") for c in names)).alias("piece_row"), F.col("length").alias("size"), F.monotonically_increasing_id().alias("row"),
-    ).withColumn("task", F.shiftright("row", 33))
+    whole = F.struct(*(F.col(f"`{c}`") for c in names)).alias("piece_row")
+    if by_number:
+        rows = pieces.select(whole, F.col("length").alias("size"), "task", "own")
+    else:
+        rows = pieces.select(whole, F.col("length").alias("size"), F.monotonically_increasing_id().alias("row"))
+        rows = rows.withColumn("task", F.shiftright("row", 33))
     by_task = rows.groupBy("size", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("size").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = by_task.select("size", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    own = F.row_number().over(Window.partitionBy("size", "task").orderBy("row")) - 1
-    ranked = rows.join(base, ["size", "task"]).withColumn("rank", F.col("base") + own)
+    if by_number:
+        base = written(base, "piece-counts")
+        ranked = rows.join(F.broadcast(base) if few(base) else base, ["size", "task"]).withColumn("rank", F.col("base") + F.col("own"))
+    else:
+        own = F.row_number().over(Window.partitionBy("size", "task").orderBy("row")) - 1
+        ranked = rows.join(base, ["size", "task"]).withColumn("rank", F.col("base") + own)
     width = int(first.max()) + 1 if len(first) else 1
     at = size * width + first
 
