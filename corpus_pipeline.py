@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pollpipe.llm.common import table, written
 from pollpipe.llm.exact import exact_groups
 from pollpipe.llm.mix import mix
-from pollpipe.llm.packing import numbered, pack, tokenize
+from pollpipe.llm.packing import pack, tokenize
 from pollpipe.llm.quality import quality
 from pollpipe.llm.queries import tokenizer_path
 from pollpipe.llm.simhash import simhash_groups
@@ -53,8 +53,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     The pieces of a sequence by ``offset`` are its tokens. A document that comes twice is packed twice.
     """
-    pieces = tokenize(docs, tokenizer_path()).select("doc_id", "piece", "start", "length", "ids")
-    placed = pack(written(numbered(pieces), "pieces"), by_number=True)
+    pieces = tokenize(docs, tokenizer_path(), numbered=True)
+    placed = pack(written(pieces, "pieces"), by_number=True)
     return placed.withColumn("ids_crc32", F.crc32("ids"))
 
 

@@ -14,7 +14,6 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,7 +89,8 @@ def cuts(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def tokenize(
-    docs: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, tokenizer: str, end: int = 2, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text",
+    numbered: bool = False,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: ``doc_id``, ``piece``, ``start``, ``length``, ``ids``.
 
@@ -98,16 +98,22 @@ def tokenize(
     then ``end``; a NULL text counts as empty and is ``end`` alone. Every row gives its pieces, so
     repeated rows and NULL ids do too. The vocabulary travels to the tasks, the file need only be
     readable by the driver.
+
+    With ``numbered`` there are ``task`` and ``own`` as well: how many pieces of its length its task has seen
+    before it. Such pieces are to be written at once, as the numbers belong to that run of the tasks.
     """
     vocabulary = Path(tokenizer).read_text(encoding="utf-8")
-    columns = ["doc_id", "piece", "start", "length", "ids"]
+    columns = ["doc_id", "piece", "start", "length", "ids", *(["task", "own"] if numbered else [])]
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, rows, held = encoder(vocabulary), [], 0
+        task, seen = TaskContext.get().partitionId() if numbered else None, defaultdict(int)
         for batch in batches:
             for i, content in zip(batch["id"], batch["text"], strict=True):
                 ids = np.append(encode(content), np.uint32(end)).astype("<u4")
-                rows += [(i, k, s, n, ids[s : s + n].tobytes()) for k, (s, n) in enumerate(cuts(len(ids), capacity))]
+                for k, (s, n) in enumerate(cuts(len(ids), capacity)):
+                    rows.append((i, k, s, n, ids[s : s + n].tobytes(), *((task, seen[n]) if numbered else ())))
+                    seen[n] += 1
                 held += len(ids)
                 if held >= BUFFER:
                     yield pd.DataFrame(rows, columns=columns)
@@ -118,6 +124,7 @@ def tokenize(
     schema = T.StructType([
         T.StructField("doc_id", T.StringType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()),
+        *([T.StructField("task", T.LongType()), T.StructField("own", T.LongType())] if numbered else []),
     ])
     kind = docs.schema[doc_id].dataType
     # Ids travel as text: pandas would turn long ids into floating-point numbers beside a NULL.
@@ -420,26 +427,6 @@ def _places(packed: dict[Filling, int]) -> tuple[np.ndarray, ...]:
     return at[:, 0], at[:, 1], np.array(sequences, np.int64)[order], np.array(offsets, np.int64)[order]
 
 
-def numbered(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``task`` and ``own``: how many pieces of its length its task has seen before it.
-
-    To be written at once: the numbers belong to the run of the tasks that wrote them.
-    """
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
-            own = []
-            for length in batch.column("length").to_pylist():
-                own.append(seen[length])
-                seen[length] += 1
-            new = [pa.array([task] * len(own), pa.int64()), pa.array(own, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, "task", "own"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.mapInArrow(number, f"{fields}, task long, own long")
-
-
 def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT, by_number: bool = False) -> DataFrame:
     """``pieces`` (any table with ``length``, from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
@@ -449,7 +436,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, effort: int = EFFORT, by_n
     task of the scan, moved by the counts of the tasks before, so no length, however common, is
     numbered in one task. The number finds the sequence and the place in it.
 
-    With ``by_number`` the pieces bring the columns of :func:`numbered`, which are not returned, and no piece
+    With ``by_number`` the pieces bring ``task`` and ``own``, which are not returned, and no piece
     is shuffled unless the counts per length and task are too many to be broadcast: the way
     for pieces that carry their tokens.
 
