@@ -54,7 +54,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     The pieces of a sequence by ``offset`` are its tokens. A document that comes twice is packed twice.
     """
     pieces = tokenize(docs, tokenizer_path(), numbered=True)
-    placed = pack(written(pieces, "pieces"), by_number=True)
+    placed = pack(written(pieces, "pieces", "zstd"), by_number=True)
     return placed.withColumn("ids_crc32", F.crc32("ids"))
 
 
