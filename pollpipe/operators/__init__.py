@@ -5,6 +5,7 @@ from .audit import (
 from .clean import cast_fields, clean_records, issue_rows
 from .compare import Case, compare_results, key_differences, score_summary, scorecard, write_report
 from .contract import check_contract, governed
+from .digests import differing, differing_keys, digest_cells, digest_dates
 from .explode import accepted, drift_counts, explode_polls, extra_fields, missing_fields, rejected
 from .features import ChangeSpec, add_features, change_features
 from .lags import Cut, choose_cut, latest_rows, latest_times, with_previous
@@ -19,7 +20,7 @@ from .topk import cap_rows, top_k
 __all__ = [
     "Case", "ChangeSpec", "Cut", "GateError", "GateResult", "Inserted", "accepted", "add_features", "approx_key_metrics",
     "approx_percentile", "cap_rows", "cast_fields", "change_features", "check_contract", "choose_cut",
-    "clean_records", "compare_results", "derived_metrics", "drift_counts", "exact_percentile", "explode_polls",
+    "clean_records", "compare_results", "derived_metrics", "differing", "differing_keys", "digest_cells", "digest_dates", "drift_counts", "exact_percentile", "explode_polls",
     "extra_fields", "governed", "insert_all", "insert_into", "insert_only", "insert_unkeyed", "issue_rows", "key_facts", "key_differences", "key_metrics",
     "latest_poll", "latest_rows", "latest_times", "layer_lag", "lost_keys", "missing_fields", "new_rows", "one_per_key",
     "problem_fields", "profile_fields", "rejected", "repeated_keys", "row_counts", "rows_at_latest", "run_gate",
