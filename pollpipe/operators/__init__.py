@@ -14,16 +14,16 @@ from .merge import (
     split_null_keys, upsert, upsert_into,
 )
 from .profile import problem_fields, profile_fields
-from .quantile import approx_percentile, exact_percentile
+from .quantile import Percentile, approx_percentile, exact_percentile, merged_summary, percentile, value_summary
 from .topk import cap_rows, top_k
 
 __all__ = [
-    "Case", "ChangeSpec", "Cut", "GateError", "GateResult", "Inserted", "accepted", "add_features", "approx_key_metrics",
+    "Case", "ChangeSpec", "Cut", "GateError", "GateResult", "Inserted", "Percentile", "accepted", "add_features", "approx_key_metrics",
     "approx_percentile", "cap_rows", "cast_fields", "change_features", "check_contract", "choose_cut",
     "clean_records", "compare_results", "derived_metrics", "differing", "differing_keys", "digest_cells", "digest_dates", "drift_counts", "exact_percentile", "explode_polls",
     "extra_fields", "governed", "insert_all", "insert_into", "insert_only", "insert_unkeyed", "issue_rows", "key_facts", "key_differences", "key_metrics",
-    "latest_poll", "latest_rows", "latest_times", "layer_lag", "lost_keys", "missing_fields", "new_rows", "one_per_key",
-    "problem_fields", "profile_fields", "rejected", "repeated_keys", "row_counts", "rows_at_latest", "run_gate",
+    "latest_poll", "latest_rows", "latest_times", "layer_lag", "lost_keys", "merged_summary", "missing_fields", "new_rows", "one_per_key",
+    "percentile", "problem_fields", "profile_fields", "rejected", "repeated_keys", "row_counts", "rows_at_latest", "run_gate",
     "score_summary", "scorecard", "side_by_side", "split_null_keys", "top_k", "upsert", "upsert_into",
-    "with_previous", "write_report",
+    "value_summary", "with_previous", "write_report",
 ]

@@ -8,7 +8,6 @@ counted on. A gate after a load then shuffles the keys of the dates that the loa
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -36,15 +35,6 @@ class KeyLedger:
         if self.table.time not in self.key:
             raise ValueError("copies of a key must share a date: the key needs the table's time")
 
-    def signatures(self) -> DataFrame:
-        """``day`` and ``signature`` of the files of every date; names and sizes only, nothing is opened."""
-        files = self.table.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.table.path())
-        day = F.regexp_extract("path", DATE + r"=(\d{4}-\d\d-\d\d)/", 1)
-        whole = F.xxhash64("path", "length", "modificationTime")
-        found = files.select(F.nullif(day, F.lit("")).cast("date").alias("day"), whole.alias("h"))
-        parts = F.concat_ws(":", F.count(F.lit(1)), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(38,0)")))
-        return found.groupBy("day").agg(parts.alias("signature"))
-
     def _entries(self) -> DataFrame | None:
         try:
             stored = self.table.spark.read.schema(_SCHEMA).parquet(self.folder)
@@ -60,14 +50,14 @@ class KeyLedger:
         if entries is None:
             return self.table.spark.createDataFrame([], _SCHEMA.rsplit(",", 1)[0])
         last = entries.groupBy("day").agg(F.max_by(F.struct("signature", "rows", "unique_keys", "unkeyed_rows"), "refresh").alias("e"))
-        there = self.signatures().select(F.col("day").alias("here"))
+        there = self.table.signatures().select(F.col("day").alias("here"))
         return last.join(there, F.col("day").eqNullSafe(F.col("here")), "left_semi").select("day", "e.*")
 
     def refresh(self) -> list[dt.date | None]:
         """Count the dates whose files have changed since they were counted; returns those dates."""
         if not self.table.exists():
             return []
-        now, known = self.signatures(), self.counts().select(F.col("day").alias("d"), F.col("signature").alias("s"))
+        now, known = self.table.signatures(), self.counts().select(F.col("day").alias("d"), F.col("signature").alias("s"))
         same = F.col("day").eqNullSafe(F.col("d")) & (F.col("signature") == F.col("s"))
         changed = now.join(known, same, "left_anti").collect()  # at most one row per calendar day
         if not changed:

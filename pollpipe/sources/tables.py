@@ -127,6 +127,15 @@ class FeedTable:
         found = {m[1] for n in names if (m := re.search(DATE + r"=(\d{4}-\d\d-\d\d)", n))}
         return sorted(dt.date.fromisoformat(d) for d in found)
 
+    def signatures(self) -> DataFrame:
+        """``day`` and ``signature`` of the files of every date; names and sizes only, nothing is opened."""
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(self.path())
+        day = F.regexp_extract("path", DATE + r"=(\d{4}-\d\d-\d\d)/", 1)
+        whole = F.xxhash64("path", "length", "modificationTime")
+        found = files.select(F.nullif(day, F.lit("")).cast("date").alias("day"), whole.alias("h"))
+        parts = F.concat_ws(":", F.count(F.lit(1)), F.bit_xor("h"), F.sum(F.col("h").cast("decimal(38,0)")))
+        return found.groupBy("day").agg(parts.alias("signature"))
+
     def with_date(self, df: DataFrame) -> DataFrame:
         # UTC calendar day, whatever the session time zone
         return df.withColumn(DATE, F.date_add(F.lit(dt.date(1970, 1, 1)), self._epoch_day()))
