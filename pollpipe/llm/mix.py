@@ -21,6 +21,11 @@ def uniform(*parts: Column) -> Column:
     return (F.conv(F.left(digest, F.lit(13)), 16, 10).cast("double") + 0.5) / float(GRAIN)
 
 
+def longer_likelier(size: Column, half: int = 100) -> Column:
+    """Inclusion odds that rise with the words of a document, from 1 / ``half`` without words towards 1: a preference for :func:`mix`."""
+    return (size + 1) / (size + F.lit(float(half)))
+
+
 def source_targets(sources: DataFrame, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
     """``source``, ``source_size``, ``target`` from ``source``, ``source_size``.
 

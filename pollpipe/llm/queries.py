@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import chat_turns
-from .common import ascii_lower, fresh, table, written
+from .common import ascii_lower, fresh, table, word_count, written
 from .exact import exact_groups
 from .imatch import fingerprints
 from .itq import near_duplicates
-from .mix import mix
+from .mix import longer_likelier, mix
 from .orchard import cluster, with_inertia
 from .packing import pack, tokenize
 from .quality import quality
@@ -93,7 +93,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), p AS (
         SELECT *, least(floor(ratio), 2)::BIGINT AS whole, ratio - least(floor(ratio), 2) AS part FROM r
     ), q AS (
-        SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (part / (1 - part)) END AS k FROM p
+        SELECT *, CASE WHEN part > 0 THEN (u / (1 - u)) / (((size + 1) / (size + 100.0::DOUBLE)) * (part / (1 - part))) END AS k FROM p
     ), o AS (
         SELECT *, sum(size) OVER (PARTITION BY source, part > 0 ORDER BY k / (1 + k), u, doc_id, size
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2.0 AS middle
@@ -105,7 +105,8 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(table(spark, sf_dir, "documents"))
+    """Longer documents are likelier to be taken once more than their source's whole copies."""
+    mixed = mix(table(spark, sf_dir, "documents"), odds=longer_likelier(word_count(F.col("text"))))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 

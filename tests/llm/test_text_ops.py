@@ -62,6 +62,27 @@ def test_mix_odds_and_awkward(spark):
     assert sum(r.copies for r in more) == 1200 and low > 800
 
 
+def test_mix_includes_as_often_as_the_odds_say(spark):
+    """200 draws of one population, as 200 sources alike, against the inclusion odds solved for the target."""
+    sizes, draws, share = np.repeat([5, 50, 200], 20), 200, 0.45
+    docs = spark.range(draws * len(sizes)).select(
+        F.col("id").alias("doc_id"), (F.col("id") % draws).cast("string").alias("source"),
+        F.repeat(F.lit("w "), F.element_at(F.array(*map(F.lit, (5, 50, 200))), (F.floor(F.col("id") / (20 * draws)) + 1).cast("int"))).alias("text"),
+    )
+    rows = mix.mix(docs, weights=(1.0,), share=share, odds=mix.longer_likelier(word_count(F.col("text")))).collect()
+    odds, low, high = (sizes + 1) / (sizes + 100), 0.0, 1e6
+    for _ in range(200):  # the level at which the expected words are the target
+        level = (low + high) / 2
+        chance = level * odds / (1 + level * odds)
+        low, high = (level, high) if (chance * sizes).sum() < share * sizes.sum() else (low, level)
+    for size in (5, 50, 200):
+        expected = chance[sizes == size][0]
+        taken = [r.copies for r in rows if r["size"] == size]
+        assert len(taken) == 20 * draws
+        assert abs(np.mean(taken) - expected) <= 3 * math.sqrt(expected * (1 - expected) / len(taken))
+    assert chance[0] < chance[25] < chance[45]
+
+
 def test_quality_on_held_out_labels(spark):
     rows = {r.doc_id: r for r in QUERIES["op7_quality"](spark, SF).collect()}
     labels = [(i, q) for i, q in documents("doc_id, quality", name="labels") if zlib.crc32(str(i).encode()) % 3 == 1]
