@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
-    odds: Column | None = None,
+    odds: Column | Callable[[Column], Column] | None = None,
     keep: tuple[str, ...] = (),
     steps: int = STEPS,
 ) -> DataFrame:
@@ -82,7 +83,8 @@ def mix(
     over the odds of that probability, and the first of them are taken up to the words still
     missing: the cut is where the sum comes nearest to them, so a source misses its target by half a
     document at most. ``odds`` may give rows a preference of their own, a positive factor on
-    their inclusion odds (NULL: 1). The random number comes from the seed, id and text, so
+    their inclusion odds (NULL: 1): an expression over ``docs``, or a function of the size, such as
+    :func:`longer_likelier`. The random number comes from the seed, id and text, so
     reruns agree whatever the partitioning; rows that repeat id and text are ordered arbitrarily
     but alike.
 
@@ -97,10 +99,12 @@ def mix(
     rows = docs.select(
         F.col(doc_id).alias("id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
         uniform(F.lit(seed), F.col(doc_id), F.md5(content.cast("binary"))).alias("u"),
-        (F.coalesce(odds, F.lit(1.0)) if odds is not None else F.lit(1.0)).cast("double").alias("odds"),
+        (F.coalesce(odds, F.lit(1.0)) if isinstance(odds, Column) else F.lit(1.0)).cast("double").alias("odds"),
         F.struct(F.lit(None).alias("_"), *keep).alias("kept"),
     )
     rows = written(rows, "mix-rows")
+    if callable(odds) and not isinstance(odds, Column):  # words are counted once, then their odds are plain arithmetic
+        rows = rows.withColumn("odds", F.coalesce(odds(F.col("size")), F.lit(1.0)).cast("double"))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = written(source_targets(sizes, weights, share, most), "mix-targets")
     rows = _with_source(rows, targets)

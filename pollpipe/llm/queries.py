@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import chat_turns
-from .common import ascii_lower, fresh, table, word_count, written
+from .common import ascii_lower, fresh, table, written
 from .exact import exact_groups
 from .imatch import fingerprints
 from .itq import near_duplicates
@@ -106,7 +106,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Longer documents are likelier to be taken once more than their source's whole copies."""
-    mixed = mix(table(spark, sf_dir, "documents"), odds=longer_likelier(word_count(F.col("text"))))
+    mixed = mix(table(spark, sf_dir, "documents"), odds=longer_likelier)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 

@@ -69,7 +69,7 @@ def test_mix_includes_as_often_as_the_odds_say(spark):
         F.col("id").alias("doc_id"), (F.col("id") % draws).cast("string").alias("source"),
         F.repeat(F.lit("w "), F.element_at(F.array(*map(F.lit, (5, 50, 200))), (F.floor(F.col("id") / (20 * draws)) + 1).cast("int"))).alias("text"),
     )
-    rows = mix.mix(docs, weights=(1.0,), share=share, odds=mix.longer_likelier(word_count(F.col("text")))).collect()
+    rows = mix.mix(docs, weights=(1.0,), share=share, odds=mix.longer_likelier).collect()
     odds, low, high = (sizes + 1) / (sizes + 100), 0.0, 1e6
     for _ in range(200):  # the level at which the expected words are the target
         level = (low + high) / 2
