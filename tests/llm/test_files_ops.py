@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
 import uuid
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import tokenizers
+import xxhash
 from helpers import SF, awkward, documents, empty, grouped
 from pyspark.sql import functions as F
 
@@ -259,9 +262,61 @@ def test_imatch_query(spark):
         prints[changed].add(r.edited_fingerprint)
     assert all(len(p) == 1 for p in prints.values())
     near, other = (np.array([r[c] for r in rows.values()]) for c in ("near_edited", "near_next"))
+    # a likeness of 0.1 tells an edited text from another one
+    assert (near >= 0.1).mean() >= 0.9 and (other >= 0.1).mean() <= 0.02
     assert near.mean() > 0.3 and np.median(other) == 0 and (near[:, None] > other[None, :]).mean() > 0.9
 
 
+def plain_hashes(text):
+    return sorted({xxhash.xxh64_intdigest(w) for w in re.split(rb"[\x09-\x0d !-/:-@\[-`{-~]+", text.lower().encode()) if w})
+
+
+def plain_lexicons(hashes, most):
+    """Hashes of the random lexicons' terms, in whole numbers and one term after the other."""
+    found, bits = [], 0
+    for halving in range(12, 0, -1):
+        bits = bits if bits + halving <= 64 else 0
+        for draw in range(4):
+            inside = []
+            for h in hashes:
+                x = h ^ xxhash.xxh64_intdigest(f"lexicon {draw}".encode())
+                x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+                x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+                x ^= x >> 31
+                if (x >> bits) % 2**halving == 0:
+                    inside.append(h)
+            enough = sum(f != "" for f in found) >= most
+            content = b"".join(h.to_bytes(8, "little") for h in inside)
+            found.append("" if enough or not inside else f"{xxhash.xxh32_intdigest(content) % 2**24:06x}")
+        bits += halving
+    return found
+
+
+def plain_likeness(a, b, in_band):
+    """Likeness of two texts from their words, without fingerprints."""
+    terms = [plain_hashes(t) for t in (a, b)]
+    kept = [[h for h in t if in_band(h)] for t in terms]
+    signs = [(k or t) or text for k, t, text in zip(kept, terms, (a, b), strict=True)]
+    sides = [plain_lexicons(k, 48) for k in kept]
+    if any(len(k) * 8 < len(t) or not any(s) for k, t, s in zip(kept, terms, sides, strict=True)):
+        sides = [plain_lexicons(t, 12) for t in terms]
+    same = [x == y for x, y in zip(*sides, strict=True) if x or y][:12]
+    everything = signs[0] == signs[1] and all(plain_lexicons(t, 12) == plain_lexicons(terms[0], 12) for t in terms)
+    return 1.0 if everything and kept[0] == kept[1] else sum(same) / len(same) if same else 0.0
+
+
+def test_imatch_equals_a_plain_version(spark):
+    docs = sorted((i, t) for i, t in documents(sf="/root/testdata/sf0.001") if len(t or "") < 6000)
+    rows = {r.doc_id: r for r in imatch.fingerprints(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    count = Counter(p for _, t in docs for p in {h >> 42 for h in plain_hashes(t or "")})
+    in_band = lambda h: 2 <= count[h >> 42] <= len(docs) * math.exp(-3)
+    for k, (i, text) in enumerate(docs):
+        text, following = text or "", docs[(k + 1) % len(docs)][1] or ""
+        changed = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
+        assert rows[i].near_next == plain_likeness(text, following, in_band), i
+        assert rows[i].near_edited == plain_likeness(text, changed, in_band), i
+
+
 def test_lexicon_counts_documents(spark):
     docs = [(i, f"all shared{i // 2} own{i} own{i}") for i in range(60)]
     known = imatch.lexicon(spark.createDataFrame(docs, "doc_id long, text string"), band=(1.0, 25.0))
