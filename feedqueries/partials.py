@@ -135,6 +135,6 @@ def window_threshold(spark, sf_dir):
 """)
 def distinct_by_window(spark, sf_dir):
     """Series of the first two days, of the last ones, and of both, from sketches of days: exact up to
-    16,384 series per window, within 2 % beyond in 99 of 100 cases."""
+    16,384 series per window, beyond that within 2 % in 99 of 100 cases (``shared``: 2 % of ``either``)."""
     partials = kept_partials(spark, sf_dir)[0]
     return ask.series_in_both(partials.sketches(until=dt.date(2024, 1, 2)), partials.sketches(dt.datetime(2024, 1, 29, 13, 30)))

@@ -2,7 +2,7 @@
 
 Spark's exact ``percentile`` keeps all distinct values in one task. Here a KLL sketch of fixed
 size, merged from the tasks' own, brackets the wanted rank first. The second pass counts what lies below the
-bracket and keeps the values inside with their counts, under one percent of the rows; the rank
+bracket and keeps the values inside with their counts, about one percent of the rows; the rank
 is then found among these. Summaries can be kept per date and merged, which saves the first pass.
 """
 
