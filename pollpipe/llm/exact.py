@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ascii_lower, few, written
+from .common import FILTER_BITS, ascii_lower, flagged, places_of, written
 
 #: Code points that the prefix hash covers.
 PREFIX = 256
 
 
+def _repeated(rows: DataFrame, *keys: str) -> DataFrame:
+    """The keys that more than one row has."""
+    return rows.groupBy(*keys).count().where("count > 1").select(*keys)
+
+
 def exact_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     carry: dict[str, Column] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Every row of ``docs`` with its group of equal texts.
 
@@ -24,11 +29,12 @@ def exact_groups(
     largest id of the group), ``group_size`` (rows), ``kept``, and what ``carry`` names, each
     computed from its row by the given expression over the columns of ``docs``.
 
-    The first scan takes length and prefix hash and keeps the pairs that occur again. The second
-    computes the full hash, but only of rows whose pair is among them; all others are unique
-    and done. Only fixed-size values are shuffled, never texts: the surviving pairs are broadcast
-    up to ``broadcast_rows``; beyond that moving texts to the pairs would cost more than hashing,
-    so each row is hashed where it is read. The result is the same.
+    The first scan counts lengths, the second prefix hashes of rows whose length occurs again, and
+    the third computes the full hash, only of rows whose length and prefix hash occur again; all
+    others are unique and done. Only fixed-size values are shuffled, never texts: what occurs
+    again comes back to the scans as a filter of 2 to the power ``bits`` places, whatever their
+    number. A row that shares a place with another key is refined once more than needed, which
+    changes no result; that share rises steadily with the number of repeated keys.
 
     A NULL text counts as empty. A group whose ids are all NULL, or a repeated row (same id and
     text), keeps exactly one row; where several rows carry the largest id one of them is kept,
@@ -40,22 +46,21 @@ def exact_groups(
     rows = docs.select(
         F.col(doc_id).alias("id"),
         F.octet_length(content).alias("n"),  # lower-casing A-Z changes no length
-        F.xxhash64(ascii_lower(F.left(content, F.lit(PREFIX)))).alias("p"),
         content.alias("content"),
         F.struct(F.lit(None).alias("_"), *(c.alias(n) for n, c in carry.items())).alias("x"),
     )
-    again = written(rows.groupBy("n", "p").count().where("count > 1").select("n", "p"), "exact-prefix")
-    if few(again, broadcast_rows):
-        rows = rows.join(F.broadcast(again.withColumn("again", F.lit(True))), ["n", "p"], "left")
-    else:
-        rows = rows.withColumn("again", F.lit(True))
-    # A unique row has its pair to itself, so that pair serves as key and spreads like any other.
-    alone = F.concat_ws("-", F.lit(""), "n", "p")
+    lengths = places_of(_repeated(rows, "n"), "exact-length", bits)
+    rows = flagged(rows, ("n",), lengths, "same_length", bits)
+    prefix = F.xxhash64(ascii_lower(F.left(F.col("content"), F.lit(PREFIX))))
+    rows = rows.withColumn("p", F.when(F.col("same_length"), prefix))
+    prefixes = places_of(_repeated(rows.where("same_length"), "n", "p"), "exact-prefix", bits)
+    rows = flagged(rows, ("n", "p"), prefixes, "same_prefix", bits)
+    again = F.col("same_length") & F.col("same_prefix")
     rows = written(
         rows.select(
             "id",
-            F.when(F.col("again"), F.sha2(ascii_lower(F.col("content")), 256)).otherwise(alone).alias("key"),
-            F.coalesce("again", F.lit(False)).alias("again"),
+            F.when(again, F.sha2(ascii_lower(F.col("content")), 256)).alias("key"),
+            again.alias("again"),
             F.monotonically_increasing_id().alias("row"),
             "x",
         ),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import FILTER_BITS, flagged, places_of, written
 from .components import components
 
 #: Trie depths at which work may be handed out.
@@ -223,6 +223,7 @@ def simhash_groups(
     text: str = "text",
     keep: tuple[str, ...] = (),
     limit: int = PAIR_LIMIT,
+    bits: int = FILTER_BITS,
 ) -> DataFrame:
     """Every row of ``docs`` with its fingerprint and the component it is linked into.
 
@@ -230,7 +231,10 @@ def simhash_groups(
     over links of ``budget`` or fewer differing bits, ``first`` (whether the row is the one of its
     component that stays), and the columns named in ``keep``.
 
-    Equal fingerprints are one node, so copies cost nothing beyond their own row. Texts that are
+    Equal fingerprints are one node, so copies cost nothing beyond their own row. Rows that are
+    alone in their component are told by a filter of bounded size over the fingerprints of larger
+    components and stay where they are; only the others, and those that share a place with them, are
+    shuffled with what they ``keep``. Texts that are
     NULL, empty or blank have fingerprint 0 and link like any other. Repeated rows are rows of
     their own. A NULL id is no smallest id unless the component has no other; ``first`` is the row with
     the smallest id and, where ids repeat or are NULL, any single one of those. Empty tables
@@ -242,13 +246,16 @@ def simhash_groups(
     )
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
-    values = written(rows.groupBy("f").agg(best), "simhash-values")
+    values = written(rows.groupBy("f").agg(best, F.count("*").alias("n")), "simhash-values")
     links = written(near_links(values.select("f"), budget, limit), "simhash-links")
     nodes = components(links).withColumnRenamed("node", "f")
-    values = values.join(nodes, "f", "left").select("f", F.coalesce("root", "f").alias("root"), "best")
-    roots = values.groupBy("root").agg(F.min("best").alias("best"))
-    labels = written(values.select("f", "root").join(roots, "root").select("f", "best"), "simhash-labels")
-    return rows.join(labels, "f").select(
-        "doc_id", F.col("f").alias("fingerprint"), F.col("best.doc_id").alias("component_id"),
-        (F.col("row") == F.col("best.row")).alias("first"), *(F.col(f"kept.`{c}`").alias(c) for c in keep),
-    )
+    values = values.join(nodes, "f", "left").select("f", F.coalesce("root", "f").alias("root"), "best", "n")
+    roots = values.groupBy("root").agg(F.min("best").alias("best"), F.sum("n").alias("size"))
+    labels = written(values.select("f", "root").join(roots, "root").select("f", "best", "size"), "simhash-labels")
+    places = places_of(labels.where("size > 1").select("f"), "simhash-together", bits)
+    rows = flagged(rows, ("f",), places, "together", bits)
+    alone = rows.where("not together").withColumn("component_id", F.col("doc_id")).withColumn("first", F.lit(True))
+    found = rows.where("together").join(labels, "f")
+    found = found.withColumn("component_id", F.col("best.doc_id")).withColumn("first", F.col("row") == F.col("best.row"))
+    columns = ("doc_id", F.col("f").alias("fingerprint"), "component_id", "first", *(F.col(f"kept.`{c}`").alias(c) for c in keep))
+    return alone.select(*columns).unionAll(found.select(*columns))

@@ -5,14 +5,14 @@ import pytest
 from helpers import SF, ascii_lower, awkward, documents, empty, grouped, linked, simhash
 from pyspark.sql import functions as F
 
-from pollpipe.llm import QUERIES, exact, simhash as operator
+from pollpipe.llm import QUERIES, common, exact, simhash as operator
 from pollpipe.llm.components import components
 
 
-@pytest.mark.parametrize("bound", [500_000, 0])
-def test_exact_groups(spark, bound):
+@pytest.mark.parametrize("bits", [24, 6])
+def test_exact_groups(spark, bits):
     docs = awkward(spark)
-    rows = exact.exact_groups(docs, broadcast_rows=bound).collect()
+    rows = exact.exact_groups(docs, bits=bits).collect()
     assert len(rows) == docs.count()
     texts = grouped(docs.collect(), lambda r: ascii_lower(r.text))
     kept = [r for r in rows if r.kept]
@@ -37,6 +37,19 @@ def test_exact_same_prefix_and_length(spark):
     assert got == {1: (1, 1), 2: (3, 2), 3: (3, 2), 4: (4, 1), 5: (5, 1)}
 
 
+def test_filter_flags_every_key_and_few_others(spark):
+    keys = spark.range(0, 3000, 3).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    rows = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
+    for bits, most in ((24, 10), (6, 2000)):
+        places = common.places_of(keys, "test-places", bits)
+        assert places.count() <= max(1, 2**bits // 64)
+        got = {r.a for r in common.flagged(rows, ("a", "b"), places, "hit", bits).where("hit").collect()}
+        assert got >= set(range(0, 3000, 3))
+        assert len(got) - 1000 <= most
+    none = common.places_of(keys.limit(0), "test-places")
+    assert common.flagged(rows, ("a", "b"), none, "hit").where("hit").count() == 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (180, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(7, 7)]
@@ -100,9 +113,10 @@ def test_simhash_query(spark):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in rows} == {i: (f"{f:016x}", smallest[roots[f]]) for i, f in prints.items()}
 
 
-def test_simhash_awkward(spark):
+@pytest.mark.parametrize("bits", [24, 6])
+def test_simhash_awkward(spark, bits):
     docs = awkward(spark)
-    rows = operator.simhash_groups(docs, keep=("text", "key")).collect()
+    rows = operator.simhash_groups(docs, keep=("text", "key"), bits=bits).collect()
     assert len(rows) == docs.count()
     groups = grouped(rows, lambda r: r.component_id)
     assert all(sum(r.first for r in g) == 1 for k, g in groups.items() if k is not None)
