@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pollpipe.functions import minutes_between
 from pollpipe.operators import (
-    Case, approx_key_metrics, check_contract, compare_results, key_differences, key_metrics, latest_poll, layer_lag,
+    Case, approx_key_metrics, check_contract, compare_results, key_counts, key_differences, key_metrics, latest_poll, layer_lag,
     lost_keys,
     repeated_keys, row_counts, rows_at_latest, score_summary, scorecard, side_by_side,
 )
@@ -48,7 +48,7 @@ def duplicate_keys(spark, sf_dir):
 def dup_key_audit_approx(spark, sf_dir):
     """The same audit from a sketch, and whether it is within four of its standard errors."""
     lines = table(spark, sf_dir, "lineitem")
-    sketch, exact = lines.agg(*approx_key_metrics(LINE_KEY)), lines.agg(*key_metrics(LINE_KEY))
+    sketch, exact = lines.agg(*approx_key_metrics(LINE_KEY)), key_counts(lines, LINE_KEY)
     both = side_by_side(sketch.withColumnRenamed("unique_keys", "sketched"), exact.select(F.col("unique_keys").alias("exact_keys")))
     within = F.abs(F.col("sketched") - F.col("exact_keys")) <= 4 * 0.01 * F.col("exact_keys")
     return both.select("rows", "exact_keys", within.alias("within"))

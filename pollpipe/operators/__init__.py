@@ -1,5 +1,5 @@
 from .audit import (
-    GateError, GateResult, approx_key_metrics, derived_metrics, key_metrics, latest_poll, layer_lag, lost_keys,
+    GateError, GateResult, approx_key_metrics, derived_metrics, key_counts, key_metrics, latest_poll, layer_lag, lost_keys,
     row_counts, rows_at_latest, run_gate, side_by_side,
 )
 from .clean import cast_fields, clean_records, issue_rows
@@ -21,7 +21,7 @@ __all__ = [
     "Case", "ChangeSpec", "Cut", "GateError", "GateResult", "Inserted", "Percentile", "accepted", "add_features", "approx_key_metrics",
     "approx_percentile", "cap_rows", "cast_fields", "change_features", "check_contract", "choose_cut",
     "clean_records", "compare_results", "derived_metrics", "differing", "differing_keys", "digest_cells", "digest_dates", "drift_counts", "exact_percentile", "explode_polls",
-    "extra_fields", "governed", "insert_all", "insert_into", "insert_only", "insert_unkeyed", "issue_rows", "key_facts", "key_differences", "key_metrics",
+    "extra_fields", "governed", "insert_all", "insert_into", "insert_only", "insert_unkeyed", "issue_rows", "key_counts", "key_facts", "key_differences", "key_metrics",
     "latest_poll", "latest_rows", "latest_times", "layer_lag", "lost_keys", "merged_summary", "missing_fields", "new_rows", "one_per_key",
     "percentile", "problem_fields", "profile_fields", "rejected", "repeated_keys", "row_counts", "rows_at_latest", "run_gate",
     "score_summary", "scorecard", "side_by_side", "split_null_keys", "top_k", "upsert", "upsert_into",

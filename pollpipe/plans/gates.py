@@ -17,7 +17,7 @@ from ..functions.quality import has_issues
 from ..operators.audit import (
     GateResult,
     derived_metrics,
-    key_metrics,
+    key_counts,
     latest_poll,
     layer_lag,
     row_counts,
@@ -74,7 +74,7 @@ def bronze_metrics(
     """
     rows = gate_rows(bronze, time, domain, since)
     unkeyed = has_null_key(key)
-    keys = rows.where(~unkeyed).agg(*key_metrics(key))
+    keys = key_counts(rows.where(~unkeyed), key)
     without = rows.agg(F.count_if(unkeyed).alias("unkeyed_rows"))
     now = F.current_timestamp() if as_of is None else as_of
     age = minutes_between(now, F.col("latest_fetched_at"))
@@ -119,7 +119,7 @@ def silver_metrics(silver: DataFrame, key: Sequence[str], eligible: Column, deri
         F.count_if(has_issues(F.col(QUALITY_ISSUES))).alias("quality_issue_rows"),
         *derived_metrics(eligible, derived),
     )
-    return side_by_side(silver.agg(*key_metrics(key)), counts)
+    return side_by_side(key_counts(silver, key), counts)
 
 
 def silver_gate(
@@ -154,7 +154,7 @@ def gold_metrics(gold: DataFrame, key: Sequence[str]) -> DataFrame:
         F.count_if(F.col("is_large_move")).alias("large_move_rows"),
         F.count_if(F.col("is_frozen")).alias("frozen_rows"),
     )
-    return side_by_side(gold.agg(*key_metrics(key)), flags)
+    return side_by_side(key_counts(gold, key), flags)
 
 
 def gold_gate(

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pollpipe.operators import (
     Case, approx_key_metrics, approx_percentile, cap_rows, check_contract, compare_results, exact_percentile,
-    governed, key_differences, key_metrics, latest_poll, lost_keys, row_counts, rows_at_latest, run_gate,
-    score_summary, scorecard, top_k, write_report,
+    governed, key_counts, key_differences, key_metrics, latest_poll, lost_keys, row_counts, rows_at_latest, run_gate,
+    score_summary, scorecard, side_by_side, top_k, write_report,
 )
 from pollpipe.presets.perpetuals import GOLD_CONTRACT
 from pollpipe.spec import Contract, ContractColumn
@@ -22,6 +22,19 @@ def test_key_metrics_have_no_collisions(spark):
     assert tuple(df.agg(*approx_key_metrics(["a", "b"])).first()) == (4, 2)
 
 
+def test_sketch_keeps_no_buffer_per_key(spark, tmp_path):
+    rows = [("AB", "C"), ("A", "BC"), ("A", "BC"), (None, "C")]
+    spark.createDataFrame(rows, "a string, b string").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    assert tuple(key_counts(df, ["a", "b"]).first()) == (4, 2)
+    assert tuple(key_counts(df.limit(0), ["a", "b"]).first()) == (0, 0)
+    both = side_by_side(df.agg(*approx_key_metrics(["a", "b"])), key_counts(df, ["a", "b"]).toDF("exact_rows", "exact_keys"))
+    assert tuple(both.first()) == (4, 2, 4, 2)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    sketches = [line for line in plan.split("\n") if "approx_count_distinct" in line]
+    assert sketches and all("keys=[]" in line for line in sketches)
+
+
 def test_latest_poll(spark):
     df = spark.createDataFrame([(1, 1), (2, 2), (2, 3), (None, 4)], "t int, v int")
     assert tuple(latest_poll(df, "t").first()) == (2, 2)
