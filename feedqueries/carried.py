@@ -11,6 +11,7 @@ from pollpipe.plans import SeriesState, load_bronze, load_gold_carried, load_sil
 from pollpipe.plans.analytics import latest_values
 from pollpipe.presets import perpetuals as preset
 from pollpipe.operators import explode_polls
+from pollpipe.session import written
 from pollpipe.sources import FeedTable
 from pollpipe.streaming import stream_features_stateful
 
@@ -105,7 +106,7 @@ def stateful_stream(spark: SparkSession, sf_dir: str, late_minute: int | None) -
     the month. With ``late_minute`` the rows of that minute of every hour land with the part after theirs."""
     root = fresh_dir(spark, "stateful")
     gold, late = (FeedTable(spark, f"{root}/{name}", "fetched_at") for name in ("gold", "late"))
-    typed = silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN)
+    typed = written(silver_rows(explode_polls(landed_polls(spark, sf_dir), preset.FEED.vendor_fields), PLAN), "typed")
     part = F.floor((F.dayofmonth("fetched_at") - 1) / 11)
     if late_minute is not None:
         part = F.when(F.minute("fetched_at") == late_minute, part + 1).otherwise(part)

@@ -4,10 +4,12 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 
 from pollpipe.operators import ChangeSpec, change_features
 from pollpipe.sources import FeedTable
 from pollpipe.streaming import stream_features_stateful
+from pollpipe.streaming.stateful import Predecessors
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "s string, t timestamp, v double, w bigint, note string"
@@ -74,3 +76,35 @@ def test_silence_needs_a_table_for_it(spark, tmp_path):
     run = Run(spark, tmp_path, silent_after=dt.timedelta(hours=1))
     with pytest.raises(ValueError):
         run.load([("a", 1, 1.0, 1)])
+
+
+class Kept:
+    """A state variable without a stream."""
+
+    def __init__(self, rows):
+        self.rows, self.puts = rows, 0
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows, self.puts = rows, self.puts + 1
+
+    def getListState(self, name, schema):
+        return self
+
+    def getValueState(self, name, schema):
+        return None
+
+
+def test_a_series_is_worked_on_row_by_row():
+    state = Kept([(1, 1.0, None), (2, 2.0, "7")])
+    processor = Predecessors(SPEC, ["s", "v", "w"], "", None)
+    processor.init(state)
+    new = [Row(s="a", v=v, w=w, at_micros=at) for at, v, w in [(5, 4.0, "2"), (2, 9.0, "1"), (4, 3.0, "5"), (4, 3.0, "3")]]
+    found = [r.asDict() for r in processor.handleInputRows(("a",), iter(new), None)]
+    assert [(r["at_micros"], r["row_kind"], r["w"]) for r in found] == [(2, "late", "1"), (4, "on_time", "3"), (5, "on_time", "2")]
+    assert [tuple(r[f"prev_v_{i}"] for i in (1, 2, 3)) for r in found] == [(None, None, None), (2.0, 1.0, None), (3.0, 2.0, 1.0)]
+    assert [r["prev_w_1"] for r in found] == [None, "7", "3"]
+    assert state.rows == [(2, 2.0, "7"), (4, 3.0, "3"), (5, 4.0, "2")] and state.puts == 1
+    assert [r["row_kind"] for r in processor.handleInputRows(("a",), iter(new[1:2]), None)] == ["late"] and state.puts == 1
