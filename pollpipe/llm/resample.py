@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,6 +19,9 @@ from .common import ascii_lower, written
 #: What a word is made of once A-Z are lower-cased: digits, a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Rows that a task works on, and hands over, together.
+ROWS = 256
+
 
 @lru_cache(maxsize=1)
 def splitter():
@@ -49,18 +53,28 @@ def bucket_counts(text: str, buckets: int, longest: int) -> tuple[int, Counter]:
     return len(words), counts
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, few at a time: what is made of them takes many times their room."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def hashed(docs: DataFrame, text: Column, keep: list[Column], buckets: int, longest: int) -> DataFrame:
     """``n_words``, ``bucket`` and ``times`` (arrays) of every row, with the columns in ``keep``; written."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, bucket, times = [], [], []
+        for batch in pieces(batches):
+            words, ends, bucket, times = [], [0], array("i"), array("q")
             for value in batch.column("text"):
                 n, counts = bucket_counts(value.as_py() or "", buckets, longest)
                 words.append(n)
-                bucket.append(list(counts.keys()))
-                times.append(list(counts.values()))
-            new = [pa.array(words, pa.int64()), pa.array(bucket, pa.list_(pa.int32())), pa.array(times, pa.list_(pa.int64()))]
+                bucket.extend(counts.keys())
+                times.extend(counts.values())
+                ends.append(len(bucket))
+            ends = pa.array(ends, pa.int32())
+            held = (pa.array(np.array(bucket, np.int32)), pa.array(np.array(times, np.int64)))
+            new = [pa.array(words, pa.int64()), *(pa.ListArray.from_arrays(ends, values) for values in held)]
             names = [name for name in batch.schema.names if name != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *new], [*names, "n_words", "bucket", "times"])
 
@@ -117,7 +131,7 @@ def resample(
     gain = gains(histogram(described, buckets), histogram(aimed, buckets))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             bucket, times = (batch.column(c) for c in ("bucket", "times"))
             each = gain[bucket.flatten().to_numpy(zero_copy_only=False)] * times.flatten().to_numpy(zero_copy_only=False)
             upto = np.concatenate([[0], np.cumsum(each)])

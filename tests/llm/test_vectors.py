@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,3 +260,10 @@ def test_the_registered_queries_return_whole_tables(spark):
     for name, source in {"op11_orchard": "embeddings", "op12_importance": "documents", "op13_itq": "embeddings"}.items():
         rows = duckdb.sql(f"SELECT count(*) FROM '{SF}/{source}.parquet'").fetchall()[0][0]
         assert QUERIES[name](spark, SF).count() == rows
+
+
+def test_resampling_works_on_few_rows_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000))})
+    found = list(resample.pieces(iter([batch, batch.slice(0, 0), batch.slice(0, 10)])))
+    assert max(p.num_rows for p in found) <= 256
+    assert [i for p in found for i in p.column("doc_id").to_pylist()] == [*range(1000), *range(10)]
