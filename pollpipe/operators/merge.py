@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
+from ..session import written
 from ..sources.tables import DATE, FeedTable, from_micros
 
 _RANK = "__rank"
@@ -111,7 +111,7 @@ def insert_all(
     added, for a key audit to see, or reduced to one per key and counted.
     """
     fresh = batch if not table.exists() else new_rows(batch, table.read(since=since, dates=dates), key)
-    fresh = checkpoint(fresh)
+    fresh = written(fresh, "fresh")
     keyed, without = split_null_keys(fresh, key)
     counts = fresh.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
     known = ~has_null_key(key)
@@ -134,9 +134,9 @@ def insert_unkeyed(table: FeedTable, rows: DataFrame) -> int:
     one = rows.withColumn(ROW_HASH, F.sha2(content, 256)).groupBy(ROW_HASH).agg(
         F.first(F.struct(*names)).alias("row"), F.count(F.lit(1)).alias(COPIES)
     ).select("row.*", ROW_HASH, COPIES)
-    one = checkpoint(one)
+    one = written(one, "unkeyed")
     if table.exists():
-        one = checkpoint(new_rows(one, table.read(dates=table.dates_in(one)), [ROW_HASH]))
+        one = written(new_rows(one, table.read(dates=table.dates_in(one)), [ROW_HASH]), "unkeyed")
     added = one.count()
     if added:
         table.append(one)

@@ -13,7 +13,7 @@ from ..functions.derive import micros
 from ..operators.features import ChangeSpec, add_features, change_features
 from ..operators.lags import Cut, choose_cut, latest_times, with_previous
 from ..operators.merge import key_facts, new_rows, one_per_key, upsert_into
-from ..session import checkpoint
+from ..session import written
 from ..sources.tables import FeedTable, from_micros, to_micros
 
 _NEW, _LATE = "__new", "__late"
@@ -71,7 +71,7 @@ def build_features(
     if facts.first is None:
         return False
     if facts.copies:
-        new = checkpoint(one_per_key(new, key, spec.tiebreak))
+        new = written(one_per_key(new, key, spec.tiebreak), "new")
         facts = replace(facts, rows=facts.rows - facts.copies, copies=0)
     since = None if lookback is None else facts.first - lookback
     history = _of_domain(source.read(since=since, before=facts.first), domain)
@@ -125,7 +125,7 @@ def repair_late_rows(
         return False
     key = (*spec.entity, spec.time)
     # small, and used several times: found once
-    late = checkpoint(late_keys(source, target, key, arrived, domain))
+    late = written(late_keys(source, target, key, arrived, domain), "late")
     bounds = late.agg(F.min(micros(F.col(spec.time))), F.max(micros(F.col(spec.time)))).first()
     first, last = (from_micros(b) for b in bounds)
     if first is None:
@@ -133,7 +133,7 @@ def repair_late_rows(
     since = None if lookback is None else first - lookback
     until = watermark if lookback is None else min(watermark, last + lookback)
     around = one_per_key(_of_domain(source.read(since=since, until=until), domain), key, spec.tiebreak)
-    fixed = checkpoint(affected_by_late_rows(around, late, spec, slicing).select(*columns))
+    fixed = written(affected_by_late_rows(around, late, spec, slicing).select(*columns), "fixed")
     upsert_into(target, fixed, key)
     return True
 

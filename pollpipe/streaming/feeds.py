@@ -21,7 +21,7 @@ from ..operators.lags import Cut
 from ..operators.merge import insert_all, insert_into, one_per_key
 from ..plans.features_load import build_features, repair_late_rows
 from ..plans.layers import SilverPlan, silver_rows
-from ..session import checkpoint as written_once
+from ..session import written
 from ..sources.tables import DATE, FeedTable
 from ..spec import FeedSpec
 
@@ -53,7 +53,7 @@ def stream_silver(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         here = _here(silver, batch)
-        rows = written_once(batch)
+        rows = written(batch, "batch")
         insert_all(here, _here(unkeyed, batch), rows, plan.feed.key, here.earliest_in(rows), keep_copies)
 
     return (
@@ -85,7 +85,7 @@ def stream_features(
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         rows, features = _here(source, batch), _here(target, batch)
-        arrived = written_once(one_per_key(batch, key))
+        arrived = written(one_per_key(batch, key), "arrived")
         insert_into(rows, arrived, key)
         build_features(rows, features, spec, columns, lookback, domain, slicing)
         if late == "repair":
