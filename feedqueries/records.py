@@ -10,10 +10,11 @@ from pollpipe.operators import (
     accepted, cast_fields, derived_metrics, explode_polls, issue_rows, problem_fields, profile_fields,
 )
 from pollpipe.presets.perpetuals import quality_rules
+from pollpipe.session import written
 from pollpipe.spec import Field
 
 from .polls import listed
-from .registry import arrived, landed, query, table
+from .registry import arrived, query, table
 
 # ------------------------------------------------------------------ casting
 
@@ -132,7 +133,7 @@ PROFILE_SQL = """
 """)
 def column_profile(spark, sf_dir):
     """Nulls, cast failures and three failing texts per field."""
-    report = profile_fields(landed(raw_records(spark, sf_dir), "bronze"), FIELDS)
+    report = profile_fields(written(raw_records(spark, sf_dir), "bronze"), FIELDS)
     return report.withColumn("examples", listed("cast_failure_examples")).drop("cast_failure_examples")
 
 
@@ -142,7 +143,7 @@ def column_profile(spark, sf_dir):
 """)
 def profile_problems(spark, sf_dir):
     """Only the fields that need attention."""
-    report = problem_fields(profile_fields(landed(raw_records(spark, sf_dir), "bronze"), FIELDS))
+    report = problem_fields(profile_fields(written(raw_records(spark, sf_dir), "bronze"), FIELDS))
     return report.select("field", "unexpected_null_count", "cast_failure_count")
 
 

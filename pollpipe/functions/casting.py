@@ -34,6 +34,9 @@ ISO_TEXT = (
     r"^\d{4}-\d{2}-\d{2}"
     r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
 )
+# Texts of that form that are no day or no hour. A failing cast raises and catches an error, which
+# costs far more than this pattern; days that only some years have are left to the cast.
+NO_TIME = r"^\d{4}-(00|1[3-9]|[2-9]\d|\d{2}-(00|3[2-9]|[4-9]\d)|02-3[01]|(0[469]|11)-31|\d{2}-\d{2}[T ](2[4-9]|[3-9]\d))"
 # The other forms of a date, and of a time behind any date.
 OTHER_DATE = r"^(\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-[1-7])?|\d{4}W\d{2}[1-7]?)"
 OTHER_ISO_TEXT = (
@@ -98,8 +101,12 @@ def _to_float(text: Column, kind: Column) -> Column:
 
 
 def _to_int(text: Column, kind: Column) -> Column:
+    # casts that are bound to fail are not tried, as each would raise and catch an error
+    whole = F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
+    number = text.try_cast("double")
+    cut = F.when(F.abs(number) <= 2.0**63, number.try_cast("bigint"))
     return (
-        F.when(kind == "number", F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")))
+        F.when(kind == "number", F.coalesce(whole, cut))
         .when(kind == "boolean", (text == "true").cast("bigint"))
         .when((kind == "string") & text.rlike(INT_TEXT), _ungrouped(text).try_cast("bigint"))
     )
@@ -110,7 +117,8 @@ def _to_time(text: Column, kind: Column) -> Column:
     # The rare forms are put as a function over an array of one text: its body stays out of the
     # generated code, which could not hold it once per field, and runs only for texts not in the usual form.
     rare = F.transform(F.array(text), lambda t: F.when(t.rlike(OTHER_ISO_TEXT), _extended(t)))[0]
-    return F.when(kind == "string", instant(F.when(text.rlike(ISO_TEXT), text).otherwise(rare)))
+    usual = F.when(~text.rlike(NO_TIME), text)
+    return F.when(kind == "string", instant(F.when(text.rlike(ISO_TEXT), usual).otherwise(rare)))
 
 
 def _to_bool(text: Column, kind: Column) -> Column:

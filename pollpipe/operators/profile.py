@@ -56,12 +56,15 @@ def problem_cells(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     def cell(i: int, value: Column) -> Column:
         return F.struct(F.lit(i).alias("position"), value.cast("string").alias("value"))
 
-    cells = F.array_compact(F.array(*[
+    cells = F.array(*[
         F.when(kind(f.name).isNull(), cell(i, F.lit(None)))
         .when(cast_failed(text(f.name), f.type, kind(f.name)), cell(i, text(f.name)))
         for i, f in enumerate(fields)
-    ]))
-    return df.select(F.inline(cells)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+    ])
+    # The cells are a column of their own: inside a generator, or under a function with a lambda, every
+    # cast would be interpreted. The outer form keeps Spark from adding a filter that judges them again.
+    found = df.select(cells.alias("cells")).select(F.inline_outer("cells")).where(F.col("position").isNotNull())
+    return found.groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def problem_fields(report: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pollpipe.functions import cast_failed, cast_value
+from pollpipe.functions.casting import NO_TIME
 from pollpipe.operators import accepted, cast_fields, explode_polls, issue_rows, problem_fields, profile_fields
+from pollpipe.operators.profile import problem_cells
 from pollpipe.plans import SilverPlan, silver_rows
 from pollpipe.presets import perpetuals as preset
 from pollpipe.session import setting
@@ -170,6 +172,31 @@ def test_profile_counts_absent_columns_as_null(spark):
     assert [(r.field, r.null_count, r.unexpected_null_count) for r in rows] == [("a", 0, 0), ("b", 1, 1)]
 
 
+def test_profile_casts_are_not_interpreted(spark):
+    """Inside a generator that holds a lambda, every cast would be."""
+    df = spark.createDataFrame([("1", "x", "2031-03-07")], "a string, b string, c string")
+    cells = problem_cells(df, [Field("a", "int"), Field("b", "float"), Field("c", "datetime"), Field("d", "str")])
+    plan = spark._jvm.PythonSQLUtils.explainString(cells._jdf.queryExecution(), "simple")
+    (generate,) = [line for line in plan.splitlines() if "Generate" in line]
+    assert "cast(" not in generate.lower() and plan.count("transform(") == 1
+    assert sorted(tuple(r) for r in cells.collect()) == [(1, "x", 1), (3, None, 1)]
+
+
+def test_casts_bound_to_fail_are_not_tried(spark):
+    """Only texts that no cast reads are kept from it, and numbers are cut at the ends of the integers."""
+    two = spark.range(100).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("n"))
+    days = two.crossJoin(two.withColumnRenamed("n", "d")).selectExpr("concat('2031-', n, '-', d) AS t")
+    hours = two.selectExpr("explode(array(concat('2031-03-07T', n), concat('2032-02-29 ', n, ':30:00Z'))) AS t")
+    judged = days.union(hours).select("t", F.col("t").rlike(NO_TIME).alias("no"), F.col("t").try_cast("timestamp").alias("time"))
+    assert judged.where("no AND time IS NOT NULL").count() == 0
+    assert judged.where("NOT no AND time IS NULL").collect()[0].t == "2031-02-29"
+    assert judged.where("NOT no").count() == 366 + 2 * 24
+    texts = ["9223372036854775807", "9223372036854775808", "9.3E18", "-9.223372036854775808E18", "2.9", "-Infinity", "NaN"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    values = [r.v for r in df.select("i", cast_value(F.col("t"), "int", F.lit("number")).alias("v")).orderBy("i").collect()]
+    assert values == [2**63 - 1, 2**63 - 1, None, -(2**63), 2, None, None]
+
+
 def test_raw_json_round_trip(spark):
     (row,) = accepted(explode_polls(polls(spark, body(record(rate=0.1, symbol='a"b\\'))), preset.FEED.vendor_fields)).collect()
     assert json.loads(row.raw_record_json)["symbol"] == 'a"b\\' and row.symbol == 'a"b\\'
