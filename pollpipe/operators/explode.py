@@ -80,7 +80,9 @@ def explode_polls(polls: DataFrame, expected: Sequence[str]) -> DataFrame:
     # one parse into a struct of the expected fields; of a repeated key the last value counts
     layout = ", ".join(f"`{n}` VARIANT" for n in expected)
     raw = F.when(F.col(REASON).isNull(), F.col("raw_record_json"))
-    fields = records.withColumn("parsed", F.from_json(raw, layout)).withColumn("keys", F.json_object_keys(raw))
+    # as the column of a generator, the keys are not parsed anew by a filter on the reason
+    listed = records.select("*", F.inline(F.array(F.struct(F.json_object_keys(raw).alias("keys")))))
+    fields = listed.withColumn("parsed", F.from_json(raw, layout))
     return fields.select(
         *carried,
         "fetched_at",

@@ -134,3 +134,11 @@ def test_landed_files(spark, tmp_path):
     exploded = explode_polls(read_polls(spark, str(tmp_path / "in")), EXPECTED)
     assert exploded.where(F.col("reject_reason").isNull()).count() == 1
     assert exploded.count() == 2
+
+
+def test_keys_of_records_are_parsed_once(spark):
+    """A filter on the reason must not parse them again below itself."""
+    good = accepted(explode_polls(polls(spark, body(record(), 7), "[]"), EXPECTED))
+    plan = spark._jvm.PythonSQLUtils.explainString(good._jdf.queryExecution(), "simple")
+    assert plan.count("jsonObjectKeys") == 1
+    assert good.count() == 1
