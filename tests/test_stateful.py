@@ -3,13 +3,14 @@
 import datetime as dt
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 
 from pollpipe.operators import ChangeSpec, change_features
 from pollpipe.sources import FeedTable
 from pollpipe.streaming import stream_features_stateful
-from pollpipe.streaming.stateful import Predecessors
+from pollpipe.streaming.stateful import PARTS, Predecessors, PredecessorsByPart, pack, unpack
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "s string, t timestamp, v double, w bigint, note string"
@@ -108,3 +109,52 @@ def test_a_series_is_worked_on_row_by_row():
     assert [r["prev_w_1"] for r in found] == [None, "7", "3"]
     assert state.rows == [(2, 2.0, "7"), (4, 3.0, "3"), (5, 4.0, "2")] and state.puts == 1
     assert [r["row_kind"] for r in processor.handleInputRows(("a",), iter(new[1:2]), None)] == ["late"] and state.puts == 1
+
+
+KEYS = ChangeSpec(("s", "u"), "t", "v", "v_change", 0.5, changes=(("w", "w_change"),), lookback=3, tiebreak=("n",))
+LAYOUT = pa.schema([
+    ("s", pa.string()), ("u", pa.float64()), ("n", pa.string()), ("v", pa.float64()), ("w", pa.string()),
+    ("b", pa.bool_()), ("l", pa.list_(pa.int64())), ("at_micros", pa.int64()),
+])
+
+
+def test_all_series_of_a_part_at_once_equal_them_row_by_row():
+    rng = random.Random(11)
+    base = LAYOUT.names[:-1]
+    together, part, alone = PredecessorsByPart(KEYS, base), None, {}
+    kinds = set()
+    for number in range(12):
+        span = rng.choice([4, 40, 4000])
+        rows = [
+            (rng.choice("abc"), rng.choice([1.0, 2.5]), rng.choice([None, "", "x", "y", "\u00e9"]), rng.choice([None, 1.0, -2.0, 3.5]),
+             rng.choice([None, "7", "10"]), rng.choice([None, True, False]), rng.choice([None, [], [1, 2], [2]]),
+             rng.choice([number * 20, 0]) + rng.randrange(span))
+            for _ in range(rng.choice([1, 5, 120]))
+        ]
+        table = pa.Table.from_pylist([dict(zip(LAYOUT.names, r, strict=True)) for r in rows], LAYOUT)
+        new = unpack([pack(table.slice(0, 3)), pack(table.slice(3))])
+        found, kept = together.found(new, new.select(together.held).slice(0, 0) if part is None else unpack([part]))
+        before, part = part, part if kept is None else pack(kept)
+        expected = []
+        for key in sorted({r[:2] for r in rows}):
+            state = alone.setdefault(key, Kept([]))
+            processor = Predecessors(KEYS, base, "", None)
+            processor.init(state)
+            own = [Row(*LAYOUT.names)(*r) for r in rows if r[:2] == key]
+            expected += [r.asDict() for r in processor.handleInputRows(key, iter(own), None)]
+        assert sorted(map(str, found.to_pylist())) == sorted(map(str, expected))
+        held = sorted((r["s"], r["u"], r["at_micros"], r["v"], r["w"]) for r in unpack([part]).to_pylist())
+        assert str(held) == str(sorted((*key, *row) for key, state in alone.items() for row in state.rows))
+        assert (kept is None) == all(r["row_kind"] == "late" for r in expected) and (kept is not None or part == before)
+        kinds |= {r["row_kind"] for r in expected}
+    assert kinds == {"late", "on_time"}
+
+
+def test_many_series_share_a_state_of_the_store(spark, tmp_path):
+    run, series = Run(spark, tmp_path), 3 * PARTS
+    run.load([(f"s{i}", h, float(i), i) for i in range(series) for h in (1, 2)])
+    run.load([(f"s{i}", 3, i + 1.0, i) for i in range(series)] + [("s7", 2, 5.0, 5)])
+    states = spark.read.format("statestore").option("stateVarName", "recent").load(f"{run.root}/progress").count()
+    assert PARTS / 2 < states <= PARTS
+    last = run.gold.read().where("v_change = 1 AND w_change = 0 AND is_large_move").count()
+    assert (last, run.gold.read().count(), run.late.read().count()) == (series, 3 * series, 1)
